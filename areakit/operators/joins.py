@@ -1,0 +1,55 @@
+"""Joining many rows to a side that is expected to be small.
+
+Lookups read straight from files carry their size with them, so a plain ``join``
+lets Spark broadcast them below ``spark.sql.autoBroadcastJoinThreshold`` and sort
+(and split skewed keys) above it. A side that is itself the result of a large
+aggregation has no such size before it has run; it is settled and measured here.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from areakit.session import settle
+
+BROADCAST_BYTES = 32 * 1024 * 1024
+SALTS = 32
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """The size of a settled frame's rows, written out as text."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def join_derived(
+    many: DataFrame,
+    few: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Join ``many`` to a computed side: broadcast if it proves small, else salted."""
+    few = settle(few)
+    if measured_bytes(few) <= broadcast_bytes:
+        return many.join(F.broadcast(few), on, how)
+    return salted_join(many, few, on, how)
+
+
+def salted_join(
+    many: DataFrame, few: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS
+) -> DataFrame:
+    """Shuffle join in which no key of ``many`` stays in one partition.
+
+    Each row of ``few`` is repeated once per salt. A row's salt mixes its values
+    with its partition number: it is the same again if the task is rerun, and
+    identical rows of different partitions still spread. ``how`` must not keep
+    unmatched rows of ``few``.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how} would repeat unmatched rows")
+    salt = F.pmod(F.xxhash64(*many.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salted = many.withColumn("_salt", salt)
+    spread = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
