@@ -16,7 +16,7 @@ BYTE_ORDER_MARK = "\ufeff"
 
 
 def _decoded(line: Column, utf8: Column) -> Column:
-    return F.when(utf8, line).otherwise(F.decode(line.cast("binary"), F.lit(LEGACY_ENCODING)))
+    return F.when(utf8, line).otherwise(F.decode(line.cast("binary"), LEGACY_ENCODING))
 
 
 def _fields(line: Column, separator: str, width: int) -> Column:
@@ -61,8 +61,8 @@ def probe_dialects(lines: DataFrame) -> DataFrame:
     which one task reads in order.
     """
     position = F.when(F.col("_first_block"), F.monotonically_increasing_id())
-    probed = lines.groupBy("file").agg(
-        F.min_by("line", position).alias("header_line"),
+    probed = lines.withColumn("_position", position).groupBy("file").agg(
+        F.min_by("line", "_position").alias("header_line"),
         F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
     )
     header = F.ltrim(
