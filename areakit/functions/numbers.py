@@ -8,7 +8,7 @@ and both are plain long additions inside hash aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _LOW_BITS = 20
@@ -59,29 +59,55 @@ def merge_parts(prefix: str) -> list[Column]:
     return [F.sum(f"{prefix}_{p}").alias(f"{prefix}_{p}") for p in ("hi", "lo", "n")]
 
 
-def finish_mean(prefix: str) -> Column:
-    """The two-decimal mean of merged parts; null where nothing was counted."""
-    hi, lo, n = (F.col(f"{prefix}_{p}") for p in ("hi", "lo", "n"))
-    total = hi.cast("decimal(27,0)") * F.lit(1 << _LOW_BITS) + lo
-    return F.when(n > 0, two_decimals(total.cast("double") / 100.0 / n))
+def finish_means(df: DataFrame, means: dict[str, str]) -> DataFrame:
+    """Replace merged parts by their two-decimal means (``prefix`` -> column name).
 
+    Null where nothing was counted. Each step names its result before the next
+    uses it several times, so expressions stay small; all of it runs in one stage.
+    """
+
+    def total(prefix: str) -> Column:
+        scale = float(1 << _LOW_BITS)
+        return F.col(f"{prefix}_hi").cast("double") * scale + F.col(f"{prefix}_lo")
+
+    exact = {
+        name: F.when(F.col(f"{p}_n") > 0, total(p) / 100.0 / F.col(f"{p}_n"))
+        for p, name in means.items()
+    }
+    parts = [f"{p}_{part}" for p in means for part in ("hi", "lo", "n")]
+    return with_two_decimals(df.withColumns(exact).drop(*parts), list(means.values()))
 
-def two_decimals(value: Column) -> Column:
-    """Round a double to two decimals by its exact binary value.
+
+def with_two_decimals(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Round double columns to two decimals by their exact binary value.
 
     This is what printing with two decimals does: 2.675 is stored a little below
     that and gives 2.67; 0.125 is stored exactly and goes to the even 0.12. The
     built-in ``round`` works on the shortest decimal text instead and gives 2.68
     and 0.13. Exact from 1/16 up (smaller values have finer bits than compared).
     """
-    size = F.abs(value)
-    whole = F.floor(size)
-    fraction = ((size - whole) * float(1 << _FRACTION_BITS)).cast("bigint")
-    scaled = fraction * 100
-    hundredths = F.shiftright(scaled, _FRACTION_BITS)
-    rest = scaled.bitwiseAND(F.lit((1 << _FRACTION_BITS) - 1).cast("bigint"))
+    size = {f"_size_{c}": F.abs(F.col(c)) for c in columns}
+    whole = {f"_whole_{c}": F.floor(F.col(f"_size_{c}")) for c in columns}
+
+    def scaled(c: str) -> Column:
+        fraction = F.col(f"_size_{c}") - F.col(f"_whole_{c}")
+        return (fraction * float(1 << _FRACTION_BITS)).cast("bigint") * 100
+
     half = F.lit(1 << (_FRACTION_BITS - 1)).cast("bigint")
-    odd = hundredths.bitwiseAND(F.lit(1).cast("bigint")) == 1
-    up = (rest > half) | ((rest == half) & odd)
-    units = whole * 100 + hundredths + F.when(up, 1).otherwise(0)
-    return F.signum(value) * (units / 100.0) + 0.0
+    mask = F.lit((1 << _FRACTION_BITS) - 1).cast("bigint")
+    one = F.lit(1).cast("bigint")
+
+    def rounded(c: str) -> Column:
+        hundredths = F.shiftright(F.col(f"_scaled_{c}"), _FRACTION_BITS)
+        rest = F.col(f"_scaled_{c}").bitwiseAND(mask)
+        up = (rest > half) | ((rest == half) & (hundredths.bitwiseAND(one) == 1))
+        units = F.col(f"_whole_{c}") * 100 + hundredths + F.when(up, 1).otherwise(0)
+        return F.signum(F.col(c)) * (units / 100.0) + 0.0
+
+    return (
+        df.withColumns(size)
+        .withColumns(whole)
+        .withColumns({f"_scaled_{c}": scaled(c) for c in columns})
+        .withColumns({c: rounded(c) for c in columns})
+        .select(*df.columns)
+    )

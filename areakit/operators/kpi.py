@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from areakit import schemas
 from areakit.functions.numbers import (
     cents,
-    finish_mean,
+    finish_means,
     high_bits,
     low_bits,
     mean_parts,
@@ -22,10 +22,15 @@ from areakit.operators.ordering import with_row_index
 
 def price_by_area(listings: DataFrame, area: str = "neighborhood", price: str = "price") -> DataFrame:
     """Mean price and number of listings per area."""
-    return (
-        listings.groupBy(F.col(area).alias("neighborhood"))
-        .agg(*mean_parts(F.col(price), "price"), F.count(F.lit(1)).alias("n_listings"))
-        .select("neighborhood", finish_mean("price").alias("average_price"), "n_listings")
+    merged = listings.groupBy(F.col(area).alias("neighborhood")).agg(
+        *mean_parts(F.col(price), "price"), F.count(F.lit(1)).alias("n_listings")
+    )
+    return _priced(merged)
+
+
+def _priced(merged: DataFrame) -> DataFrame:
+    return finish_means(merged, {"price": "average_price"}).select(
+        "neighborhood", "average_price", "n_listings"
     )
 
 
@@ -38,7 +43,7 @@ def price_by_area_nested(nested: DataFrame) -> DataFrame:
     def total(of: Column) -> Column:
         return F.aggregate(of, F.lit(0).cast("bigint"), lambda acc, c: acc + c)
 
-    return (
+    return _priced(
         nested.select(
             F.col("Neighborhood").alias("neighborhood"),
             total(F.transform(prices, high_bits)).alias("price_hi"),
@@ -48,7 +53,6 @@ def price_by_area_nested(nested: DataFrame) -> DataFrame:
         )
         .groupBy("neighborhood")
         .agg(*merge_parts("price"), F.sum("n_listings").alias("n_listings"))
-        .select("neighborhood", finish_mean("price").alias("average_price"), "n_listings")
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areakit.operators.joins import join_derived
-from areakit.session import settle
 
 MAX_ELEMENTS = 50_000
 
@@ -26,11 +25,9 @@ def nest(
     length; every element is in exactly one of them. All other keys have the one
     row ``part`` = 0. ``df`` is read twice, so settle it if it is costly.
     """
-    large = settle(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > max_elements)
-        .select(*keys, F.ceil(F.col("_rows") / max_elements).alias("_parts"))
+    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = rows.filter(F.col("_rows") > max_elements).select(
+        *keys, F.ceil(F.col("_rows") / max_elements).alias("_parts")
     )
     part = F.lit(0)
     if not large.isEmpty():

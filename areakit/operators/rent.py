@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from areakit.functions.numbers import finish_mean, mean_parts, merge_parts
+from areakit.functions.numbers import finish_means, mean_parts, merge_parts
 from areakit.operators.reconcile import reconcile
 
 # The mark of a missing price and the words that tell a measure.
@@ -19,14 +20,27 @@ RENT_KEYS = ["Nom_Barri", "Any", "Nom_Districte", "Codi_Barri", "Codi_Districte"
 def clean_rent(rows: DataFrame, since: int) -> DataFrame:
     """Rows with a numeric price from the year ``since`` on; price and codes typed.
 
-    Area codes, where present, are integers whichever way the source writes them.
+    Prices may come as text, where ``--`` and anything else that is no number
+    counts as missing, or as numbers. Area codes, where present, become integers.
     """
-    kept = rows.filter(
-        (F.col("Preu") != MISSING_PRICE) & F.col("Preu").isNotNull() & (F.col("Any") >= since)
-    )
+    price = F.col("Preu")
+    if isinstance(rows.schema["Preu"].dataType, T.StringType):
+        price = F.when(price != MISSING_PRICE, price.try_cast("double"))
     codes = {c: F.col(c).try_cast("int") for c in ("Codi_Barri", "Codi_Districte") if c in rows.columns}
-    return kept.withColumns({"Preu": F.col("Preu").try_cast("double"), **codes}).filter(
-        F.col("Preu").isNotNull()
+    return (
+        rows.filter(F.col("Any") >= since)
+        .withColumns({"Preu": price.cast("double"), **codes})
+        .filter(F.col("Preu").isNotNull())
+    )
+
+
+def unusable_prices(rows: DataFrame) -> DataFrame:
+    """Texts in the price column that are neither numbers nor the missing mark, counted."""
+    return (
+        rows.filter(F.col("Preu") != MISSING_PRICE)
+        .filter(F.col("Preu").try_cast("double").isNull())
+        .groupBy("Preu")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
 
@@ -48,16 +62,12 @@ def rent_parts(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def rent_means(parts: DataFrame) -> DataFrame:
     """Mean surface and monthly price per area and year that has both."""
-    return (
+    merged = (
         parts.groupBy(*RENT_KEYS)
         .agg(*merge_parts("surface"), *merge_parts("monthly"))
         .filter((F.col("surface_n") > 0) & (F.col("monthly_n") > 0))
-        .select(
-            *RENT_KEYS,
-            finish_mean("surface").alias("surface_price"),
-            finish_mean("monthly").alias("monthly_price"),
-        )
     )
+    return finish_means(merged, {"surface": "surface_price", "monthly": "monthly_price"})
 
 
 def rent_two_year(means: DataFrame, current: int, previous: int) -> DataFrame:

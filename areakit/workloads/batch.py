@@ -38,7 +38,9 @@ def select_rename_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clean_rent(roles.rent_facts(spark, sf_dir), roles.PREVIOUS_YEAR)
+    rows = clean_rent(
+        roles.rent_facts(spark, sf_dir, as_text=True), roles.PREVIOUS_YEAR
+    )
     return rows.select(
         "l_orderkey", "l_linenumber", "Any", "Lloguer_mitja", F.col("Preu").alias("price")
     )
