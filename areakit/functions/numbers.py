@@ -70,12 +70,15 @@ def finish_means(df: DataFrame, means: dict[str, str]) -> DataFrame:
         scale = float(1 << _LOW_BITS)
         return F.col(f"{prefix}_hi").cast("double") * scale + F.col(f"{prefix}_lo")
 
-    exact = {
-        name: F.when(F.col(f"{p}_n") > 0, total(p) / 100.0 / F.col(f"{p}_n"))
-        for p, name in means.items()
-    }
-    parts = [f"{p}_{part}" for p in means for part in ("hi", "lo", "n")]
-    return with_two_decimals(df.withColumns(exact).drop(*parts), list(means.values()))
+    parts = {f"{p}_{part}" for p in means for part in ("hi", "lo", "n")}
+    exact = df.select(
+        *(c for c in df.columns if c not in parts),
+        *(
+            F.when(F.col(f"{p}_n") > 0, total(p) / 100.0 / F.col(f"{p}_n")).alias(name)
+            for p, name in means.items()
+        ),
+    )
+    return with_two_decimals(exact, list(means.values()))
 
 
 def with_two_decimals(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -86,28 +89,21 @@ def with_two_decimals(df: DataFrame, columns: list[str]) -> DataFrame:
     built-in ``round`` works on the shortest decimal text instead and gives 2.68
     and 0.13. Exact from 1/16 up (smaller values have finer bits than compared).
     """
-    size = {f"_size_{c}": F.abs(F.col(c)) for c in columns}
-    whole = {f"_whole_{c}": F.floor(F.col(f"_size_{c}")) for c in columns}
-
-    def scaled(c: str) -> Column:
-        fraction = F.col(f"_size_{c}") - F.col(f"_whole_{c}")
-        return (fraction * float(1 << _FRACTION_BITS)).cast("bigint") * 100
-
     half = F.lit(1 << (_FRACTION_BITS - 1)).cast("bigint")
     mask = F.lit((1 << _FRACTION_BITS) - 1).cast("bigint")
     one = F.lit(1).cast("bigint")
 
+    def scaled(c: str) -> Column:
+        size = F.abs(F.col(c))
+        return ((size - F.floor(size)) * float(1 << _FRACTION_BITS)).cast("bigint") * 100
+
     def rounded(c: str) -> Column:
         hundredths = F.shiftright(F.col(f"_scaled_{c}"), _FRACTION_BITS)
         rest = F.col(f"_scaled_{c}").bitwiseAND(mask)
         up = (rest > half) | ((rest == half) & (hundredths.bitwiseAND(one) == 1))
-        units = F.col(f"_whole_{c}") * 100 + hundredths + F.when(up, 1).otherwise(0)
+        units = F.floor(F.abs(F.col(c))) * 100 + hundredths + F.when(up, 1).otherwise(0)
         return F.signum(F.col(c)) * (units / 100.0) + 0.0
 
-    return (
-        df.withColumns(size)
-        .withColumns(whole)
-        .withColumns({f"_scaled_{c}": scaled(c) for c in columns})
-        .withColumns({c: rounded(c) for c in columns})
-        .select(*df.columns)
+    return df.select("*", *(scaled(c).alias(f"_scaled_{c}") for c in columns)).select(
+        *(rounded(c).alias(c) if c in columns else c for c in df.columns)
     )

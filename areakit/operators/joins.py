@@ -23,20 +23,30 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def join_derived(
+def join_measured(
     many: DataFrame,
     few: DataFrame,
     on: list[str],
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``many`` to a computed side: broadcast if it proves small, else salted."""
-    few = settle(few)
+    """Join ``many`` to a settled or stored side: broadcast if it proves small, else salted."""
     if measured_bytes(few) <= broadcast_bytes:
         return many.join(F.broadcast(few), on, how)
     return salted_join(many, few, on, how)
 
 
+def join_derived(
+    many: DataFrame,
+    few: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The same for a side that has to be computed first."""
+    return join_measured(many, settle(few), on, how, broadcast_bytes)
+
+
 def salted_join(
     many: DataFrame, few: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:

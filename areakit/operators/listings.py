@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areakit import schemas
-from areakit.operators.joins import join_derived
+from areakit.operators.joins import join_measured
 from areakit.operators.latest import latest
 from areakit.operators.nesting import MAX_ELEMENTS, nest
 from areakit.operators.reconcile import reconcile
-from areakit.session import settle
 
 PROVINCE = "Barcelona"
 
@@ -35,8 +34,11 @@ def latest_listings(listings: DataFrame, tie_breakers: list[str]) -> DataFrame:
 
 
 def flat_table(listings: DataFrame, profile: DataFrame) -> DataFrame:
-    """One row per listing with its area's profile, under the published names."""
-    joined = join_derived(listings, profile, ["neighborhood"])
+    """One row per listing with its area's profile, under the published names.
+
+    The profile is measured before it is joined, so it should be settled.
+    """
+    joined = join_measured(listings, profile, ["neighborhood"])
     return joined.select(*(F.col(c).alias(name) for name, c in schemas.FLAT_COLUMNS.items()))
 
 
@@ -46,10 +48,10 @@ def nested_table(
     """One row per area with its listings as an array, under the published names.
 
     An area of more than ``max_elements`` listings has several rows, told apart
-    by ``Info Part``; see :func:`areakit.operators.nesting.nest`.
+    by ``Info Part``; see :func:`areakit.operators.nesting.nest`. Both inputs are
+    read twice, so they should be settled.
     """
-    listings = settle(listings.select("neighborhood", "propertyCode", *schemas.LISTING_FIELDS))
     info = F.struct("propertyCode", *schemas.LISTING_FIELDS)
     nested = nest(listings, ["neighborhood"], info, "info", ["propertyCode"], max_elements)
-    joined = join_derived(nested, profile, ["neighborhood"])
+    joined = join_measured(nested, profile, ["neighborhood"])
     return joined.select(*(F.col(c).alias(name) for name, c in schemas.NESTED_COLUMNS.items()))

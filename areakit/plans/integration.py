@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from areakit import schemas
 from areakit.operators.income import income_profile
 from areakit.operators.listings import (
     PROVINCE,
@@ -72,7 +73,8 @@ def integrate(
 
     Listings and profile feed both, so each is computed once.
     """
-    listings = settle(build_listings(landing, tie_breakers, province))
+    columns = ["neighborhood", "propertyCode", *schemas.LISTING_FIELDS]
+    listings = settle(build_listings(landing, tie_breakers, province).select(*columns))
     profile = settle(build_profile(landing, current, previous))
     return flat_table(listings, profile), nested_table(listings, profile, max_elements)
 

@@ -15,8 +15,10 @@ SEPARATORS = (",", ";")
 BYTE_ORDER_MARK = "\ufeff"
 
 
-def _decoded(line: Column, utf8: Column) -> Column:
-    return F.when(utf8, line).otherwise(F.decode(line.cast("binary"), LEGACY_ENCODING))
+def decoded(line: Column) -> Column:
+    """A line as text: UTF-8 where its bytes are that, else the legacy encoding."""
+    legacy = F.decode(line.cast("binary"), LEGACY_ENCODING)
+    return F.when(F.is_valid_utf8(line), line).otherwise(legacy)
 
 
 def _fields(line: Column, separator: str, width: int) -> Column:
@@ -39,78 +41,74 @@ def _occurrences(text: Column, mark: str) -> Column:
 
 
 def read_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Every line below a folder with the file it is in, undecoded."""
+    """Every decoded line of the CSV files below a folder, with the file it is in."""
     return (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .text(directory)
         .select(
             F.col(FILE_PATH).alias("file"),
-            (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
-            F.col("value").alias("line"),
+            (F.col("_metadata.file_block_start") == 0).alias("in_first_block"),
+            decoded(F.col("value")).alias("line"),
         )
     )
 
 
-def probe_dialects(lines: DataFrame) -> DataFrame:
-    """Per file: its first line, whether all of it is UTF-8, and its separator.
+def probe_headers(lines: DataFrame, columns: list[str]) -> DataFrame:
+    """Each file's header and separator: its first line that names a wanted column.
 
-    A file with any invalid UTF-8 counts as the legacy encoding; the separator is
-    the one more frequent in the first line, the comma in doubt. The line number
-    used to find the first line is only compared within a file's first block,
-    which one task reads in order.
+    The separator is the one more frequent in that line, the comma in doubt. Only
+    lines of a file's first block compete, which one task reads in order, so row
+    numbers of that task tell which comes first. Lines that name no column are
+    gone before the aggregation.
     """
-    position = F.when(F.col("_first_block"), F.monotonically_increasing_id())
-    probed = lines.withColumn("_position", position).groupBy("file").agg(
-        F.min_by("line", "_position").alias("header_line"),
-        F.bool_and(F.is_valid_utf8("line")).alias("utf8"),
+    named = F.lit(False)
+    for column in columns:
+        named = named | F.col("line").contains(column)
+    first = (
+        lines.withColumn("_position", F.monotonically_increasing_id())
+        .filter(F.col("in_first_block") & named)
+        .groupBy("file")
+        .agg(F.min_by("line", "_position").alias("header_line"))
     )
-    header = F.ltrim(
-        _decoded(F.col("header_line"), F.col("utf8")), F.lit(BYTE_ORDER_MARK)
-    )
-    comma, semicolon = SEPARATORS
-    return probed.withColumn("header", header).withColumn(
-        "separator",
-        F.when(
-            _occurrences(F.col("header"), semicolon) > _occurrences(F.col("header"), comma),
-            semicolon,
-        ).otherwise(comma),
+    comma, semicolon = (_occurrences(F.col("header_line"), s) for s in SEPARATORS)
+    return first.select(
+        "file",
+        "header_line",
+        F.when(semicolon > comma, SEPARATORS[1]).otherwise(SEPARATORS[0]).alias("separator"),
+        F.greatest(comma, semicolon).alias("marks"),
     )
 
 
 def read_reports(spark: SparkSession, directory: str, columns: list[str]) -> DataFrame:
     """The given columns, by name and as text, of every CSV report below a folder.
 
-    Reports may differ in dialect and in columns; a column a report lacks is null.
-    All files are parsed in one scan: each line is matched with its file's dialect
-    and the places of the wanted columns in its header. ``file`` keeps the path.
+    Reports may differ in encoding, separator and columns; a column a report lacks
+    is null, and a file with none of them has no rows. All files are parsed in one
+    scan: each line is matched with its file's separator and the places of the
+    wanted columns in its header. ``file`` keeps the path.
     """
     lines = read_lines(spark, directory)
-    dialects = settle(probe_dialects(lines))
-    widest = F.max(F.greatest(*(_occurrences(F.col("header"), s) for s in SEPARATORS)))
-    width = (dialects.agg(widest.alias("marks")).first()["marks"] or 0) + 1
-    names = F.transform(
-        _any_dialect(F.col("header"), F.col("separator"), width), lambda n: F.trim(n)
-    )
-    places = dialects.select(
+    headers = settle(probe_headers(lines, columns))
+    width = (headers.agg(F.max("marks").alias("marks")).first()["marks"] or 0) + 1
+    header = F.ltrim(F.col("header_line"), F.lit(BYTE_ORDER_MARK))
+    names = F.transform(_any_dialect(header, F.col("separator"), width), lambda n: F.trim(n))
+    places = headers.withColumn("_names", names).select(
         "file",
         "header_line",
-        "utf8",
         "separator",
         *(
-            (F.array_position(names, F.lit(c)) - 1).cast("int").alias(f"_at{i}")
+            (F.array_position("_names", F.lit(c)) - 1).cast("int").alias(f"_at{i}")
             for i, c in enumerate(columns)
         ),
     )
     rows = join_derived(lines, places, ["file"]).filter(F.col("line") != F.col("header_line"))
-    fields = rows.select(
+    parsed = rows.select(
         "file",
-        _any_dialect(
-            _decoded(F.col("line"), F.col("utf8")), F.col("separator"), width
-        ).alias("_fields"),
+        _any_dialect(F.col("line"), F.col("separator"), width).alias("_fields"),
         *(f"_at{i}" for i in range(len(columns))),
     )
-    return fields.select(
+    return parsed.select(
         "file",
         *(
             F.when(F.col(f"_at{i}") >= 0, F.get("_fields", F.col(f"_at{i}"))).alias(c)

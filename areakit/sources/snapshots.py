@@ -10,9 +10,20 @@ from areakit import schemas
 from areakit.functions.paths import FILE_PATH, snapshot_date
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    return df.withColumn("date", snapshot_date(F.col(FILE_PATH))).filter(
-        F.col("neighborhood").isNotNull()
+def _widened(schema: T.StructType) -> T.StructType:
+    """Integers as longs: files hold either, and only this way reads both."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.LongType() if f.dataType == T.IntegerType() else f.dataType)
+            for f in schema.fields
+        ]
+    )
+
+
+def _dated(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.filter(F.col("neighborhood").isNotNull()).select(
+        *(F.col(f.name).cast(f.dataType) for f in schema.fields),
+        snapshot_date(F.col(FILE_PATH)).alias("date"),
     )
 
 
@@ -26,10 +37,11 @@ def read_snapshots(
     without matching files gives an empty frame with the declared columns.
     """
     return _dated(
-        spark.read.schema(schema)
+        spark.read.schema(_widened(schema))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .parquet(directory)
+        .parquet(directory),
+        schema,
     )
 
 
@@ -48,7 +60,8 @@ def read_listing_json(
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
         .option("multiLine", multi_line)
-        .json(directory)
+        .json(directory),
+        schema,
     )
 
 

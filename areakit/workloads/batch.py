@@ -15,6 +15,7 @@ from areakit.operators.listings import flat_table, in_scope, nested_table
 from areakit.operators.reconcile import lookup_pairs, unmatched
 from areakit.operators.rent import clean_rent, rent_two_year, rent_yoy
 from areakit.sources.lookups import district_lookup
+from areakit.session import settle
 from areakit.workloads import roles
 
 LISTING_COLUMNS = ["propertyCode", *schemas.LISTING_FIELDS]
@@ -140,11 +141,13 @@ def area_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def integrated_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat_table(roles.newest_listings(spark, sf_dir), roles.profile(spark, sf_dir))
+    return flat_table(roles.newest_listings(spark, sf_dir), settle(roles.profile(spark, sf_dir)))
 
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_table(roles.newest_listings(spark, sf_dir), roles.profile(spark, sf_dir))
+    columns = ["neighborhood", "propertyCode", *schemas.LISTING_FIELDS]
+    listings = settle(roles.newest_listings(spark, sf_dir).select(*columns))
+    return nested_table(listings, settle(roles.profile(spark, sf_dir)))
 
 
 def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
