@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import tempfile
 import uuid
 
@@ -37,6 +39,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _own_folder() -> str:
+    """A folder of this process, removed when it ends."""
+    folder = tempfile.TemporaryDirectory(prefix="areakit-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -47,7 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="areakit-")
+        folder = _own_folder()
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

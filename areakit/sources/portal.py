@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +38,11 @@ def missing_years(files: DataFrame, first: int, end: int) -> DataFrame:
     return wanted.join(present, "year", "left_anti")
 
 
-def missing_topic_years(files: DataFrame, topic: str, current_year: int) -> DataFrame:
+def missing_topic_years(
+    files: DataFrame, topic: str, current_year: int | None = None
+) -> DataFrame:
     """The same for a known topic, up to the year before the current one."""
-    return missing_years(files, FIRST_YEARS[topic], current_year)
+    return missing_years(files, FIRST_YEARS[topic], current_year or date.today().year)
 
 
 def page_links(pages: DataFrame, html: str = "html", css_class: str | None = None) -> DataFrame:
@@ -70,16 +74,16 @@ def report_links(
     """The last link of each year (the first four characters of its title).
 
     Titles that end in ``xml`` are left out, and years not in the ``year`` column
-    of ``wanted``. ``order`` puts links in the order they were met; partial
-    aggregation leaves one link per year and partition to shuffle.
+    of ``wanted``. ``order`` puts links in the order they were met. Links are
+    reduced to one per year, first within each partition, before ``wanted`` is
+    joined; where that is small Spark moves the join below the aggregation itself.
     """
     titled = (
         links.withColumn("title", link_title(F.col("text")))
         .filter(~F.col("title").endswith("xml"))
         .withColumn("year", F.left("title", F.lit(4)))
     )
-    if wanted is not None:
-        titled = titled.join(wanted.select("year").distinct(), "year", "left_semi")
-    return titled.groupBy("year").agg(
+    last = titled.groupBy("year").agg(
         F.max_by(F.concat(F.lit(base), F.col("href")), F.struct(*order)).alias("url")
     )
+    return last if wanted is None else last.join(wanted.select("year"), "year", "left_semi")

@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 TESTDATA = Path("/root/testdata")
 
 
+TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "date": "DATE",
+}
+
+
 def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for file in Path(sf_dir).glob("*.parquet"):
@@ -29,6 +38,10 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list
     relation = con.sql(sql)
     if sorted(df.columns) != sorted(relation.columns):
         return [f"columns {sorted(df.columns)} != {sorted(relation.columns)}"]
+    theirs_type = dict(zip(relation.columns, map(str, relation.types)))
+    types = [f"{n}: {t} is {theirs_type[n]}" for n, t in df.dtypes if TYPES.get(t) != theirs_type[n]]
+    if types:
+        return types
     ours = _rows(df.columns, [tuple(r) for r in df.collect()])
     theirs = _rows(relation.columns, relation.fetchall())
     if not ours:

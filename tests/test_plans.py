@@ -198,3 +198,18 @@ def test_periodic_query_is_stopped_in_time(spark, tmp_path):
     messages.run_for(query, 5)
     assert not query.isActive
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_other_sinks(spark, tmp_path, rows):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.txt").write_text("a,Q1,1\na,Q2,2\n")
+
+    def run(fmt, **kwargs):
+        stream = messages.message_stream(spark, "text", str(source))
+        parsed = messages.accepted(messages.parse_messages(stream))
+        messages.run_for(messages.append_to(parsed, str(tmp_path / fmt), fmt, **kwargs), 60)
+
+    run("console")
+    run("memory", name="scored")
+    assert rows(spark.table("scored")) == [("Q1", 1.0), ("Q2", 2.0)]
