@@ -4,6 +4,8 @@ Means are taken over whole cents, so no addition ever rounds and the result does
 not depend on the order in which partitions arrive. A sum of cents is kept as two
 integers (high and low bits): neither can overflow at any realistic row count,
 and both are plain long additions inside hash aggregation.
+
+Amounts, weights and conditions are SQL expressions over the frame's columns.
 """
 
 from __future__ import annotations
@@ -16,69 +18,62 @@ _LOW_MASK = (1 << _LOW_BITS) - 1
 # Fractions are compared as integers of this many bits; 100 times one still fits
 # in a long.
 _FRACTION_BITS = 56
+_FRACTION = 1 << _FRACTION_BITS
 
 
-def cents(amount: Column) -> Column:
+def cents(amount: str) -> str:
     """An amount of at most two decimals as whole cents."""
-    return F.rint(amount * 100).cast("bigint")
+    return f"CAST(rint(CAST({amount} AS DOUBLE) * 100) AS BIGINT)"
 
 
-def high_bits(value: Column) -> Column:
-    return F.shiftright(value, _LOW_BITS)
+def high_bits(value: str) -> str:
+    return f"shiftright({value}, {_LOW_BITS})"
 
 
-def low_bits(value: Column) -> Column:
-    return value.bitwiseAND(F.lit(_LOW_MASK).cast("bigint"))
+def low_bits(value: str) -> str:
+    return f"({value} & {_LOW_MASK}L)"
 
 
-def mean_parts(amount: Column, prefix: str, where: Column | None = None) -> list[Column]:
+def mean_parts(amount: str, prefix: str, where: str | None = None) -> list[Column]:
     """Aggregates ``<prefix>_hi, _lo, _n`` from which a mean can be finished later."""
     value = cents(amount)
     if where is not None:
-        value = F.when(where, value)
+        value = f"CASE WHEN {where} THEN {value} END"
     return [
-        F.sum(high_bits(value)).alias(f"{prefix}_hi"),
-        F.sum(low_bits(value)).alias(f"{prefix}_lo"),
-        F.count(value).alias(f"{prefix}_n"),
+        F.expr(f"sum({high_bits(value)}) AS {prefix}_hi"),
+        F.expr(f"sum({low_bits(value)}) AS {prefix}_lo"),
+        F.expr(f"count({value}) AS {prefix}_n"),
     ]
 
 
-def weighted_parts(amount: Column, weight: Column, prefix: str) -> list[Column]:
+def weighted_parts(amount: str, weight: str, prefix: str) -> list[Column]:
     """Like :func:`mean_parts` for rows that stand for ``weight`` equal rows."""
     value = cents(amount)
-    counted = F.when(value.isNotNull(), weight)
     return [
-        F.sum(high_bits(value) * counted).alias(f"{prefix}_hi"),
-        F.sum(low_bits(value) * counted).alias(f"{prefix}_lo"),
-        F.sum(counted).alias(f"{prefix}_n"),
+        F.expr(f"sum({high_bits(value)} * {weight}) AS {prefix}_hi"),
+        F.expr(f"sum({low_bits(value)} * {weight}) AS {prefix}_lo"),
+        F.expr(f"sum(CASE WHEN {amount} IS NOT NULL THEN {weight} END) AS {prefix}_n"),
     ]
 
 
 def merge_parts(prefix: str) -> list[Column]:
     """Aggregates that add up parts made by the functions above."""
-    return [F.sum(f"{prefix}_{p}").alias(f"{prefix}_{p}") for p in ("hi", "lo", "n")]
+    return [F.expr(f"sum({prefix}_{p}) AS {prefix}_{p}") for p in ("hi", "lo", "n")]
 
 
 def finish_means(df: DataFrame, means: dict[str, str]) -> DataFrame:
     """Replace merged parts by their two-decimal means (``prefix`` -> column name).
 
-    Null where nothing was counted. Each step names its result before the next
-    uses it several times, so expressions stay small; all of it runs in one stage.
+    Null where nothing was counted.
     """
-
-    def total(prefix: str) -> Column:
-        scale = float(1 << _LOW_BITS)
-        return F.col(f"{prefix}_hi").cast("double") * scale + F.col(f"{prefix}_lo")
-
     parts = {f"{p}_{part}" for p in means for part in ("hi", "lo", "n")}
-    exact = df.select(
-        *(c for c in df.columns if c not in parts),
-        *(
-            F.when(F.col(f"{p}_n") > 0, total(p) / 100.0 / F.col(f"{p}_n")).alias(name)
-            for p, name in means.items()
-        ),
-    )
-    return with_two_decimals(exact, list(means.values()))
+    exact = [
+        f"CASE WHEN {p}_n > 0 THEN "
+        f"(CAST({p}_hi AS DOUBLE) * {1 << _LOW_BITS}D + {p}_lo) / 100D / {p}_n END AS `{name}`"
+        for p, name in means.items()
+    ]
+    kept = [f"`{c}`" for c in df.columns if c not in parts]
+    return with_two_decimals(df.selectExpr(*kept, *exact), list(means.values()))
 
 
 def with_two_decimals(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -88,22 +83,23 @@ def with_two_decimals(df: DataFrame, columns: list[str]) -> DataFrame:
     that and gives 2.67; 0.125 is stored exactly and goes to the even 0.12. The
     built-in ``round`` works on the shortest decimal text instead and gives 2.68
     and 0.13. Exact from 1/16 up (smaller values have finer bits than compared).
+
+    The scaled fraction gets a column of its own first, as it is used repeatedly.
     """
-    half = F.lit(1 << (_FRACTION_BITS - 1)).cast("bigint")
-    mask = F.lit((1 << _FRACTION_BITS) - 1).cast("bigint")
-    one = F.lit(1).cast("bigint")
-
-    def scaled(c: str) -> Column:
-        size = F.abs(F.col(c))
-        return ((size - F.floor(size)) * float(1 << _FRACTION_BITS)).cast("bigint") * 100
-
-    def rounded(c: str) -> Column:
-        hundredths = F.shiftright(F.col(f"_scaled_{c}"), _FRACTION_BITS)
-        rest = F.col(f"_scaled_{c}").bitwiseAND(mask)
-        up = (rest > half) | ((rest == half) & (hundredths.bitwiseAND(one) == 1))
-        units = F.floor(F.abs(F.col(c))) * 100 + hundredths + F.when(up, 1).otherwise(0)
-        return F.signum(F.col(c)) * (units / 100.0) + 0.0
-
-    return df.select("*", *(scaled(c).alias(f"_scaled_{c}") for c in columns)).select(
-        *(rounded(c).alias(c) if c in columns else c for c in df.columns)
+
+    def scaled(c: str) -> str:
+        fraction = f"(abs(`{c}`) - floor(abs(`{c}`)))"
+        return f"CAST({fraction} * {float(_FRACTION)!r}D AS BIGINT) * 100 AS `_scaled_{c}`"
+
+    def rounded(c: str) -> str:
+        hundredths = f"shiftright(`_scaled_{c}`, {_FRACTION_BITS})"
+        rest = f"(`_scaled_{c}` & {_FRACTION - 1}L)"
+        half = f"{_FRACTION // 2}L"
+        up = f"({rest} > {half} OR ({rest} = {half} AND {hundredths} & 1L = 1))"
+        units = f"floor(abs(`{c}`)) * 100 + {hundredths} + CASE WHEN {up} THEN 1 ELSE 0 END"
+        return f"signum(`{c}`) * (({units}) / 100D) + 0D AS `{c}`"
+
+    with_scaled = df.selectExpr("*", *(scaled(c) for c in columns))
+    return with_scaled.selectExpr(
+        *(rounded(c) if c in columns else f"`{c}`" for c in df.columns)
     )

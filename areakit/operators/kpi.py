@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ from areakit.operators.ordering import with_row_index
 def price_by_area(listings: DataFrame, area: str = "neighborhood", price: str = "price") -> DataFrame:
     """Mean price and number of listings per area."""
     merged = listings.groupBy(F.col(area).alias("neighborhood")).agg(
-        *mean_parts(F.col(price), "price"), F.count(F.lit(1)).alias("n_listings")
+        *mean_parts(f"`{price}`", "price"), F.count(F.lit(1)).alias("n_listings")
     )
     return _priced(merged)
 
@@ -36,23 +36,26 @@ def _priced(merged: DataFrame) -> DataFrame:
 
 def price_by_area_nested(nested: DataFrame) -> DataFrame:
     """The same from the nested table, reading the arrays in place."""
-    prices = F.filter(
-        F.transform(F.col("Info Idealista"), lambda x: cents(x["price"])), lambda c: c.isNotNull()
-    )
-
-    def total(of: Column) -> Column:
-        return F.aggregate(of, F.lit(0).cast("bigint"), lambda acc, c: acc + c)
 
+    def total(of: str) -> str:
+        return f"aggregate(prices, 0L, (sum, price) -> sum + {of})"
+
+    prices = f"filter(transform(`Info Idealista`, x -> {cents('x.price')}), c -> c IS NOT NULL)"
+    counted = nested.selectExpr(
+        "Neighborhood AS neighborhood",
+        f"{prices} AS prices",
+        "size(`Info Idealista`) AS n_listings",
+    ).selectExpr(
+        "neighborhood",
+        f"{total(high_bits('price'))} AS price_hi",
+        f"{total(low_bits('price'))} AS price_lo",
+        "size(prices) AS price_n",
+        "n_listings",
+    )
     return _priced(
-        nested.select(
-            F.col("Neighborhood").alias("neighborhood"),
-            total(F.transform(prices, high_bits)).alias("price_hi"),
-            total(F.transform(prices, low_bits)).alias("price_lo"),
-            F.size(prices).alias("price_n"),
-            F.size("Info Idealista").alias("n_listings"),
+        counted.groupBy("neighborhood").agg(
+            *merge_parts("price"), F.sum("n_listings").alias("n_listings")
         )
-        .groupBy("neighborhood")
-        .agg(*merge_parts("price"), F.sum("n_listings").alias("n_listings"))
     )
 
 

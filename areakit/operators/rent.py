@@ -44,8 +44,8 @@ def unusable_prices(rows: DataFrame) -> DataFrame:
     )
 
 
-def _measure(word: str) -> Column:
-    return F.col("Lloguer_mitja").contains(word)
+def _measure(word: str) -> str:
+    return f"contains(Lloguer_mitja, '{word}')"
 
 
 def rent_parts(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,8 +55,8 @@ def rent_parts(rows: DataFrame, keys: list[str]) -> DataFrame:
     joined to the area afterwards; :func:`rent_means` adds the parts up.
     """
     return rows.groupBy(*keys).agg(
-        *mean_parts(F.col("Preu"), "surface", _measure(SURFACE_WORD)),
-        *mean_parts(F.col("Preu"), "monthly", _measure(MONTHLY_WORD)),
+        *mean_parts("Preu", "surface", _measure(SURFACE_WORD)),
+        *mean_parts("Preu", "monthly", _measure(MONTHLY_WORD)),
     )
 
 

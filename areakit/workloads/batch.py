@@ -99,14 +99,11 @@ def dedupe_latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def income_nest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The yearly array written out as text, values in cents."""
-    rfd = lambda x: cents(x["RFD"].cast("double")).cast("string")
-    text = F.transform(
-        "info", lambda x: F.concat_ws(":", x["year"].cast("string"), rfd(x), x["pop"])
-    )
+    text = f"transform(info, x -> concat_ws(':', x.year, {cents('x.RFD')}, x.pop))"
     return roles.income_documents(spark, sf_dir).select(
         F.col(schemas.INCOME_NAME).alias("neigh_name"),
         "district_name",
-        F.array_join(text, ";").alias("info"),
+        F.array_join(F.expr(text), ";").alias("info"),
     )
 
 
@@ -152,17 +149,8 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing array written out as text: code, date, price in cents, rooms."""
-    text = F.transform(
-        "Info Idealista",
-        lambda x: F.concat_ws(
-            "|",
-            x["propertyCode"],
-            x["date"].cast("string"),
-            cents(x["price"]).cast("string"),
-            x["rooms"].cast("string"),
-            x["floor"],
-        ),
-    )
+    parts = f"x.propertyCode, x.date, {cents('x.price')}, x.rooms, x.floor"
+    text = F.expr(f"transform(`Info Idealista`, x -> concat_ws('|', {parts}))")
     return _nested(spark, sf_dir).withColumn("Info Idealista", F.array_join(text, ";"))
 
 

@@ -232,7 +232,7 @@ def income_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("Any", "n_nationkey", "n_name", "n_regionkey")
-        .agg(*weighted_parts(F.col("c_acctbal"), F.col("n_orders"), "index"))
+        .agg(*weighted_parts("c_acctbal", "n_orders", "index"))
     )
     indexed = finish_means(merged.withColumn("pop", F.col("index_n").cast("string")), {"index": "rfd"})
     return indexed.join(

@@ -36,7 +36,7 @@ def test_means_of_parts_merged_in_any_split(spark):
     data = [(k, rng.randrange(5), round(rng.uniform(-50, 900000), 2)) for k in "abc" for _ in range(200)]
     data += [("d", 0, None), ("a", 1, None)]
     df = spark.createDataFrame(data, "k string, s int, v double")
-    parts = df.groupBy("k", "s").agg(*mean_parts(F.col("v"), "m"))
+    parts = df.groupBy("k", "s").agg(*mean_parts("v", "m"))
     merged = parts.groupBy("k").agg(*merge_parts("m"))
     got = {r["k"]: r["mean"] for r in finish_means(merged, {"m": "mean"}).collect()}
     for k in "abc":
@@ -47,14 +47,14 @@ def test_means_of_parts_merged_in_any_split(spark):
 
 def test_weights_count_rows(spark):
     df = spark.createDataFrame([(1.5, 2), (4.0, 1), (None, 7)], "v double, w bigint")
-    merged = df.agg(*weighted_parts(F.col("v"), F.col("w"), "m"))
+    merged = df.agg(*weighted_parts("v", "w", "m"))
     assert finish_means(merged, {"m": "mean"}).first()["mean"] == printed(7.0 / 3)
 
 
 def test_sums_beyond_a_long_of_cents(spark):
     """The total of cents here does not fit a long."""
     df = spark.range(1).select(F.lit(90_000_000.01).alias("v"), F.lit(3_000_000_000_000).alias("w"))
-    merged = df.agg(*weighted_parts(F.col("v"), F.col("w"), "m"))
+    merged = df.agg(*weighted_parts("v", "w", "m"))
     assert finish_means(merged, {"m": "mean"}).first()["mean"] == 90_000_000.01
 
 
