@@ -13,14 +13,14 @@ def nest_income(rows: DataFrame) -> DataFrame:
     """Yearly report rows (one per area and year) as one document per area.
 
     The array holds one element per year, so its length is bounded by the years
-    reported.
+    reported; copies of a row collapse before the shuffle.
     """
     year = F.struct(
         F.col("Any").cast("int").alias("year"), F.col("RFD"), F.col("pop")
     )
     return rows.groupBy(
         F.col("Nom_Barri").alias(schemas.INCOME_NAME), F.col("Nom_Districte").alias("district_name")
-    ).agg(F.array_sort(F.collect_list(year)).alias("info"))
+    ).agg(F.array_sort(F.collect_set(year)).alias("info"))
 
 
 def most_recent(info: Column, field: str) -> Column:

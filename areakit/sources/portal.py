@@ -22,7 +22,7 @@ TAG = r"(?s)<[^>]*>"
 
 
 def present_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Paths of all files below a folder, without reading them."""
+    """Paths of all files below a folder that hold anything, without reading them."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

@@ -48,28 +48,39 @@ def read_lines(spark: SparkSession, directory: str) -> DataFrame:
         .text(directory)
         .select(
             F.col(FILE_PATH).alias("file"),
-            (F.col("_metadata.file_block_start") == 0).alias("in_first_block"),
+            F.col("_metadata.file_block_start").alias("block"),
             decoded(F.col("value")).alias("line"),
         )
     )
 
 
+def with_position(lines: DataFrame) -> DataFrame:
+    """Add ``place``: with ``file`` and ``block``, a line's place in its file.
+
+    One task reads a block in order, so the running number of its rows orders them.
+    """
+    return lines.withColumn("place", F.monotonically_increasing_id())
+
+
 def probe_headers(lines: DataFrame, columns: list[str]) -> DataFrame:
     """Each file's header and separator: its first line that names a wanted column.
 
     The separator is the one more frequent in that line, the comma in doubt. Only
-    lines of a file's first block compete, which one task reads in order, so row
-    numbers of that task tell which comes first. Lines that name no column are
-    gone before the aggregation.
+    lines of a file's first block compete. Lines that name no column are gone
+    before the aggregation.
     """
     named = F.lit(False)
     for column in columns:
         named = named | F.col("line").contains(column)
+    return _headers(lines, named)
+
+
+def _headers(lines: DataFrame, candidate: Column) -> DataFrame:
     first = (
-        lines.withColumn("_position", F.monotonically_increasing_id())
-        .filter(F.col("in_first_block") & named)
+        with_position(lines)
+        .filter((F.col("block") == 0) & candidate)
         .groupBy("file")
-        .agg(F.min_by("line", "_position").alias("header_line"))
+        .agg(F.min_by("line", "place").alias("header_line"))
     )
     comma, semicolon = (_occurrences(F.col("header_line"), s) for s in SEPARATORS)
     return first.select(
@@ -80,20 +91,37 @@ def probe_headers(lines: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def read_reports(spark: SparkSession, directory: str, columns: list[str]) -> DataFrame:
+def _width(headers: DataFrame) -> int:
+    return (headers.agg(F.max("marks").alias("marks")).first()["marks"] or 0) + 1
+
+
+def _names(width: int) -> Column:
+    header = F.ltrim(F.col("header_line"), F.lit(BYTE_ORDER_MARK))
+    return F.transform(_any_dialect(header, F.col("separator"), width), lambda n: F.trim(n))
+
+
+def report_columns(spark: SparkSession, directory: str) -> list[str]:
+    """All column names in the first lines of the reports below a folder, sorted."""
+    headers = settle(_headers(read_lines(spark, directory), F.lit(True)))
+    names = headers.select(F.explode(_names(_width(headers))).alias("name")).distinct()
+    return sorted(r["name"] for r in names.filter(F.col("name") != "").collect())
+
+
+def read_reports(
+    spark: SparkSession, directory: str, columns: list[str], positions: bool = False
+) -> DataFrame:
     """The given columns, by name and as text, of every CSV report below a folder.
 
     Reports may differ in encoding, separator and columns; a column a report lacks
     is null, and a file with none of them has no rows. All files are parsed in one
     scan: each line is matched with its file's separator and the places of the
-    wanted columns in its header. ``file`` keeps the path.
+    wanted columns in its header. ``file`` keeps the path, and with ``positions``
+    ``block`` and ``place`` keep the order of lines within it.
     """
     lines = read_lines(spark, directory)
     headers = settle(probe_headers(lines, columns))
-    width = (headers.agg(F.max("marks").alias("marks")).first()["marks"] or 0) + 1
-    header = F.ltrim(F.col("header_line"), F.lit(BYTE_ORDER_MARK))
-    names = F.transform(_any_dialect(header, F.col("separator"), width), lambda n: F.trim(n))
-    places = headers.withColumn("_names", names).select(
+    width = _width(headers)
+    places = headers.withColumn("_names", _names(width)).select(
         "file",
         "header_line",
         "separator",
@@ -102,14 +130,17 @@ def read_reports(spark: SparkSession, directory: str, columns: list[str]) -> Dat
             for i, c in enumerate(columns)
         ),
     )
-    rows = join_derived(lines, places, ["file"]).filter(F.col("line") != F.col("header_line"))
-    parsed = rows.select(
-        "file",
+    kept = ["file"]
+    if positions:
+        lines, kept = with_position(lines), ["file", "block", "place"]
+    rows = join_derived(lines, places, ["file"])
+    parsed = rows.filter(F.col("line") != F.col("header_line")).select(
+        *kept,
         _any_dialect(F.col("line"), F.col("separator"), width).alias("_fields"),
         *(f"_at{i}" for i in range(len(columns))),
     )
     return parsed.select(
-        "file",
+        *kept,
         *(
             F.when(F.col(f"_at{i}") >= 0, F.get("_fields", F.col(f"_at{i}"))).alias(c)
             for i, c in enumerate(columns)

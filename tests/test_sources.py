@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areakit import schemas
+from areakit.plans.landing import outstanding_years, persist_reports
 from areakit.session import scratch, shared_dir
 from areakit.sources import lookups, portal, reports, snapshots
 from areakit.sources.tables import overwrite_table, read_table
@@ -196,3 +197,40 @@ def test_titles_ending_in_xml_are_left_out(spark):
     pages = spark.createDataFrame([(1, '<a href="/x">2016_lloguer_xml   </a><a href="/y">2016_lxmlCSV</a>')], "page_id int, html string")
     links = portal.page_links(pages)
     assert [r["year"] for r in portal.report_links(links, ["pos"]).collect()] == ["2016"]
+
+
+def test_persisted_reports_keep_line_order(spark, folder, rows):
+    put(folder / "in" / "2015_x_bcn.csv", "Any;Preu\n2015;3\n2015;3\n2015;1\n")
+    put(folder / "in" / "2014_x_bcn.csv", "Any,Nom\n2014,é\n2014,b\n", "iso-8859-1")
+    put(folder / "in" / "2016_x_bcn.csv", "Any,Nom\n")
+    put(folder / "in" / "2017_x_bcn.csv", "")
+    assert reports.report_columns(spark, str(folder / "in")) == ["Any", "Nom", "Preu"]
+    persist_reports(spark, str(folder / "in"), str(folder / "out"))
+    got = spark.read.json(str(folder / "out")).select("row_index", "Any", "Nom", "Preu")
+    assert rows(got) == [
+        (0, "2014", "é", None),
+        (1, "2014", "b", None),
+        (2, "2015", None, "3"),
+        (3, "2015", None, "3"),
+        (4, "2015", None, "1"),
+    ]
+    assert rows(outstanding_years(spark, str(folder / "in"), "lloguer_preu", 2020)) == [
+        (2017,), (2018,), (2019,)
+    ]
+
+
+def test_lines_of_a_file_read_in_several_blocks(spark, folder, rows):
+    text = "Any,n\n" + "".join(f"2014,{i}\n" for i in range(20000))
+    put(folder / "in" / "2014_x_bcn.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = reports.read_reports(spark, str(folder / "in"), ["n"], positions=True)
+        assert read.select("block").distinct().count() > 5
+        persist_reports(spark, str(folder / "in"), str(folder / "out"), ["n"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    got = spark.read.json(str(folder / "out"))
+    assert got.count() == 20000
+    assert got.filter("row_index != cast(n as bigint)").count() == 0
