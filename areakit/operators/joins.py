@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areakit.session import settle
 
@@ -52,14 +53,16 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which no key of ``many`` stays in one partition.
 
-    Each row of ``few`` is repeated once per salt. A row's salt mixes its values
-    with its partition number: it is the same again if the task is rerun, and
-    identical rows of different partitions still spread. ``how`` must not keep
+    Each row of ``few`` is repeated once per salt. A row's salt mixes its plain
+    values with its partition number: it is the same again if the task is rerun,
+    and identical rows of different partitions still spread. ``how`` must not keep
     unmatched rows of ``few``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat unmatched rows")
-    salt = F.pmod(F.xxhash64(*many.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    plain = [f"`{f.name}`" for f in many.schema.fields if not isinstance(f.dataType, nested)]
+    salt = F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), F.lit(salts)).cast("int")
     salted = many.withColumn("_salt", salt)
     spread = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")

@@ -31,6 +31,20 @@ def training_subset(flat: DataFrame) -> DataFrame:
     )
 
 
+def train_rooms(
+    flat: DataFrame, index_all: bool = False, seed: int = 7
+) -> tuple[PipelineModel, DataFrame]:
+    """The model fitted on the training listings of the flat table, and its
+    predictions for the others.
+
+    With ``index_all`` the indexers learn their values from all listings.
+    """
+    sided = flat.withColumn("_side", split_side(F.col("Property Code")))
+    train, test = (training_subset(sided.filter(F.col("_side") == s)) for s in ("train", "test"))
+    model = fit_rooms(train, training_subset(flat) if index_all else None, seed)
+    return model, predict(model, test)
+
+
 def split_side(key: Column, train_percent: int = TRAIN_PERCENT) -> Column:
     """``train`` or ``test`` by a hash of the row's key.
 

@@ -21,10 +21,9 @@ def message_stream(spark: SparkSession, fmt: str, path: str | None = None, **opt
     return source.select(F.col("value").cast("string").alias("value"))
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    return message_stream(
-        spark, "kafka", **{"kafka.bootstrap.servers": servers, "subscribe": topic}
-    )
+def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    named = {"kafka.bootstrap.servers": servers, "subscribe": topic}
+    return message_stream(spark, "kafka", **named, **options)
 
 
 def field(value: Column, place: int) -> Column:

@@ -6,8 +6,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areakit.plans.rooms import PREDICTED
-from areakit.streaming.messages import CATEGORY, PRICE, accepted, parse_messages
+from areakit.plans.rooms import PREDICTED, load_model
+from areakit.streaming.messages import (
+    CATEGORY,
+    PRICE,
+    accepted,
+    append_to,
+    parse_messages,
+    run_for,
+)
 
 
 def score_messages(messages: DataFrame, model: PipelineModel) -> DataFrame:
@@ -18,3 +25,21 @@ def score_messages(messages: DataFrame, model: PipelineModel) -> DataFrame:
     """
     scored = model.transform(accepted(parse_messages(messages)))
     return scored.select(CATEGORY, PRICE, "prediction", F.col(PREDICTED).alias("predicted_rooms"))
+
+
+def score_stream(
+    messages: DataFrame,
+    model_path: str,
+    checkpoint: str,
+    fmt: str = "console",
+    path: str | None = None,
+    every: str | None = None,
+    seconds: int | None = None,
+) -> None:
+    """Score a message stream with a saved model into a sink for some time.
+
+    Without ``every`` it ends when it has caught up; see
+    :func:`areakit.streaming.messages.append_to`.
+    """
+    scored = score_messages(messages, load_model(model_path))
+    run_for(append_to(scored, checkpoint, fmt, path, every), seconds)

@@ -68,6 +68,19 @@ def test_row_index_is_the_total_order(spark, hot):
     assert [got[r] for r in expected] == list(range(len(expected)))
 
 
+def test_row_index_over_many_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(0, 50_000, 1, 7).select((F.col("id") * 7919 % 50_000).alias("v"))
+        indexed = with_row_index(df, ["v"], start=1)
+        assert indexed.select(F.spark_partition_id()).distinct().count() > 1
+        assert indexed.filter("row_index != v + 1").count() == 0
+        assert indexed.count() == 50_000
+    finally:
+        spark.conf.set(key, "true")
+
+
 def test_row_index_of_nothing(spark):
     assert with_row_index(spark.createDataFrame([], "k string"), ["k"]).count() == 0
 
@@ -92,6 +105,34 @@ def test_latest_reduces_before_the_shuffle(spark, hot):
     assert "row_number(), 1, Partial" in plan
 
 
+def test_adaptive_execution_splits_a_hot_join_key_below_latest(spark):
+    """The runtime settings let the join be split although ``latest`` has the same key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        many = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 20_000).alias("k"),
+            "id",
+            F.rand(1).alias("v"),
+        )
+        few = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 25).alias("a"))
+        newest = latest(many.join(few, "k"), ["k"], ["id"])
+        assert len(newest.collect()) == 20_000
+        assert "skew=true" in newest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_nest_splits_only_large_keys(spark, hot):
     df = hot.distinct()
     nested = nest(df, ["k"], F.struct("v"), "vs", ["v"], max_elements=20).collect()

@@ -213,3 +213,24 @@ def test_other_sinks(spark, tmp_path, rows):
     run("console")
     run("memory", name="scored")
     assert rows(spark.table("scored")) == [("Q1", 1.0), ("Q2", 2.0)]
+
+
+def test_train_from_the_flat_table_then_score_a_stream(spark, flats, tmp_path):
+    flat = flats.select(
+        F.col("key").cast("string").alias("Property Code"),
+        F.col(rooms.CATEGORY).alias("Neighborhood Id"),
+        "Price",
+        "Rooms",
+    )
+    fitted, predictions = rooms.train_rooms(flat)
+    assert 0 < predictions.count() < 400
+    assert rooms.accuracy(predictions) == 1.0
+    rooms.save_model(fitted, str(tmp_path / "model"))
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.txt").write_text("x,Q3,3001\nbad\n")
+    stream = messages.message_stream(spark, "text", str(source))
+    scoring.score_stream(
+        stream, str(tmp_path / "model"), str(tmp_path / "log"), "parquet", out, seconds=60
+    )
+    assert [tuple(r)[::3] for r in spark.read.parquet(out).collect()] == [("Q3", "4")]
