@@ -9,14 +9,19 @@ FILE_PATH = "_metadata.file_path"
 
 
 def snapshot_date(path: Column) -> Column:
-    """The ``YYYY_MM_DD`` in a path, as a date; null without one."""
-    text = F.regexp_extract(path, r"(\d{4}_\d{2}_\d{2})", 1)
+    """The last ``YYYY_MM_DD`` in a path, as a date; null without one."""
+    text = F.regexp_extract(path, r".*(\d{4}_\d{2}_\d{2})", 1)
     return F.try_to_timestamp(text, F.lit("yyyy_MM_dd")).cast("date")
 
 
 def report_year(path: Column) -> Column:
-    """The year a file or folder name starts with; null without one.
+    """The year a file's name, or else its folder's, starts with; null without one.
 
     The name may stand behind ``column=``, as partitioned writes lay it out.
     """
-    return F.regexp_extract(path, r"(?:^|[/=])(\d{4})_[^/]*(?:/[^/]*)?$", 1).try_cast("int")
+
+    def leading_year(name: Column) -> Column:
+        return F.regexp_extract(name, r"^(?:[^=/]*=)?(\d{4})_", 1).try_cast("int")
+
+    file, folder = (F.substring_index(path, "/", -depth) for depth in (1, 2))
+    return F.coalesce(leading_year(file), leading_year(folder))

@@ -86,30 +86,22 @@ def rent_two_year(means: DataFrame, current: int, previous: int) -> DataFrame:
 
 
 def rent_yoy(means: DataFrame, current: int, previous: int) -> DataFrame:
-    """Both prices of the current year and their increase over the previous one."""
+    """Both prices of the current year and their increase over the area's previous one."""
+    by_area = Window.partitionBy("Nom_Barri")
 
-    def of_year(column: str, year: int) -> Column:
-        return F.max(F.when(F.col("Any") == year, F.col(column)))
+    def increase(column: str) -> Column:
+        before = F.max(F.when(F.col("Any") == previous, F.col(column))).over(by_area)
+        return F.round(F.col(column) - before, 2)
 
-    keys = [k for k in RENT_KEYS if k != "Any"]
-    both = (
+    return (
         means.filter(F.col("Any").isin(current, previous))
-        .groupBy(*keys)
-        .agg(
-            *(
-                of_year(f"{kind}_price", year).alias(f"{kind}_{when}")
-                for kind in ("surface", "monthly")
-                for when, year in (("now", current), ("before", previous))
-            )
+        .select(
+            "*",
+            increase("surface_price").alias("surface_increase"),
+            increase("monthly_price").alias("monthly_increase"),
         )
-        .filter(F.col("surface_now").isNotNull() & F.col("surface_before").isNotNull())
-    )
-    return both.select(
-        *keys,
-        F.col("surface_now").alias("surface_price"),
-        F.col("monthly_now").alias("monthly_price"),
-        F.round(F.col("surface_now") - F.col("surface_before"), 2).alias("surface_increase"),
-        F.round(F.col("monthly_now") - F.col("monthly_before"), 2).alias("monthly_increase"),
+        .filter((F.col("Any") == current) & F.col("surface_increase").isNotNull())
+        .drop("Any")
     )
 
 

@@ -90,8 +90,9 @@ def test_paths(spark):
         "file:/zone/report=2015_lloguer_preu_bcn/part-00000-1234_5.csv",
         "file:/zone/readme.txt",
         "file:/zone/2020_13_45_x/part-0.parquet",
+        "file:/2024_05_06_export/2019_07_08_idealista/2018_part.parquet",
     ]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").orderBy("i")
     got = df.select(snapshot_date(F.col("p")), report_year(F.col("p"))).collect()
-    assert [r[0] for r in got] == [date(2020, 1, 2), None, None, None, None]
-    assert [r[1] for r in got] == [2020, 2014, 2015, None, 2020]
+    assert [r[0] for r in got] == [date(2020, 1, 2), None, None, None, None, date(2019, 7, 8)]
+    assert [r[1] for r in got] == [2020, 2014, 2015, None, 2020, 2018]
