@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areakit.session import settle
+from areakit.session import pin
 
 _POSITION_MASK = (1 << 33) - 1
 
@@ -16,11 +16,11 @@ def with_row_index(
     """Add each row's position in ``order`` (which must be a total order).
 
     A global ``row_number`` would sort the whole table in one task. Here rows are
-    range-partitioned and sorted, settled, counted per partition, and numbered by
+    range-partitioned and sorted, checkpointed, counted per partition, and numbered by
     the rows in the partitions before plus the place in their own. Only the
     partition counts, one row each, go through a single window.
     """
-    placed = settle(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    placed = pin(df.repartitionByRange(*order).sortWithinPartitions(*order))
     tagged = placed.select(
         "*",
         F.spark_partition_id().alias("_partition"),

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Paths of settled frames that are still in the shared folder.
+_SETTLED: list[str] = []
+
 # Runtime SQL settings the plans count on. The last one lets a skewed join be
 # split even where the aggregate above it then needs a shuffle of its own.
 RUNTIME_SETTINGS = {
@@ -29,6 +32,7 @@ def new_session(app: str, master: str | None = None, **settings: str) -> SparkSe
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key.replace("_", "."), value)
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return tune(builder.getOrCreate())
 
 
@@ -68,10 +72,36 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/areakit/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage there.
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Compute ``df`` once into Parquet files of the shared folder and read them back.
 
-    For frames that several jobs read: the files outlive a lost executor.
+    For frames that several jobs read: the files outlive a lost executor, readers
+    prune columns, and Spark knows their size when it plans a join. They are removed
+    when the process ends, or earlier by ``release``.
     """
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    df.write.parquet(path)
+    _SETTLED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` with its partitions and their order kept."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the files of all settled frames; none of them can be read afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SETTLED:
+        path = jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _SETTLED else None
+    if spark is not None:
+        release(spark)
