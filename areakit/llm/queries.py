@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areakit.llm import mixing, pieces, rules, sharding, tokens
-from areakit.llm.common import documents
+from areakit.llm import mixing, nearest, pieces, quality, rules, sharding, substrings, tokens, toxicity
+from areakit.llm.common import documents, labels
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,15 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest_rows(rows, F.col("vec_id") % 100 == 0)
+
+
 def op4_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -24,6 +33,10 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_documents(documents(spark, sf_dir)).select(*columns)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_documents(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select(
@@ -38,12 +51,21 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = substrings.remove_repeats(documents(spark, sf_dir))
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_toxicity": op2_toxicity,
+    "op3_nearest": op3_nearest,
     "op4_shard_bytes": op4_shard_bytes,
     "op5_host_rules": op5_host_rules,
+    "op6_quality": op6_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
@@ -106,4 +128,22 @@ rates AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(rate <= 0.5, true) AS kept
 FROM judged LEFT JOIN rates USING (source)""",
+    "op10_substring_dedup": r"""
+WITH base AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS gram FROM (
+    SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM base)),
+lost AS (
+  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY gram) < doc_id),
+covered AS (
+  SELECT DISTINCT doc_id, i + k AS place FROM lost, range(0, 50) AS r(k)),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM base),
+rest AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM placed ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM base LEFT JOIN rest USING (doc_id)""",
 }
