@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areakit.llm import mixing, nearest, pieces, quality, rules, sharding, substrings, tokens, toxicity
+from areakit.llm import jaccard, mixing, nearest, pieces, quality, rules, sharding, substrings, tokens, toxicity
 from areakit.llm.common import documents, labels
 
 
@@ -37,6 +37,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_documents(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(documents(spark, sf_dir))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select(
@@ -63,6 +67,7 @@ QUERIES = {
     "op4_shard_bytes": op4_shard_bytes,
     "op5_host_rules": op5_host_rules,
     "op6_quality": op6_quality,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
