@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from areakit.llm import jaccard, mixing, nearest, pieces, quality, rules, sharding, substrings, tokens, toxicity
 from areakit.llm.common import documents, labels
 
@@ -71,6 +72,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {

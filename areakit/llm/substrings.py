@@ -151,15 +151,16 @@ def _candidates(width: int, shared):
         repeats = shared.value
         for batch in batches:
             held = []
-            rids, ids = batch.column("rid").to_pylist(), batch.column("doc_id").to_pylist()
-            for rid, doc, text in zip(rids, ids, batch.column("text").to_pylist()):
+            docs = batch.column("doc_id").to_pylist()
+            for row, (doc, text) in enumerate(zip(docs, batch.column("text").to_pylist())):
                 if doc is not None and (found := _maybe_windows(words(text), width, repeats)):
-                    held.append((rid, doc, text, *found))
+                    held.append((row, *found))
             if not held:
                 continue
-            sizes = np.array([len(h[3]) for h in held])
-            owner = np.repeat([h[1] for h in held], sizes)
-            one, two = (np.concatenate([h[i] for h in held]) for i in (4, 5))
+            rows = batch.take(pa.array([h[0] for h in held]))
+            sizes = np.array([len(h[1]) for h in held])
+            owner = np.repeat(rows.column("doc_id").to_numpy(), sizes)
+            one, two = (np.concatenate([h[i] for h in held]) for i in (2, 3))
             order = np.lexsort((owner, two, one))
             new = np.ones(len(order), bool)
             new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
@@ -168,41 +169,45 @@ def _candidates(width: int, shared):
             lost = owner > least
             cuts = np.cumsum(sizes)[:-1]
             split = lambda values, keep: [v[k] for v, k in zip(np.split(values, cuts), np.split(keep, cuts))]
-            places = np.concatenate([h[3] for h in held])
+            places = np.concatenate([h[1] for h in held])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([h[0] for h in held], pa.int64()),
-                    pa.array([h[1] for h in held], pa.int64()),
-                    pa.array([h[2] for h in held], pa.string()),
+                    *(rows.column(c) for c in ("rid", "doc_id", "fingerprint", "text")),
                     pa.array(split(places.astype(np.int32), lost), pa.list_(pa.int32())),
                     pa.array(split(places.astype(np.int32), ~lost), pa.list_(pa.int32())),
                     pa.array(split(one.view(np.int64), ~lost), pa.list_(pa.int64())),
                     pa.array(split(two.view(np.int64), ~lost), pa.list_(pa.int64())),
                 ],
-                names=["rid", "doc_id", "text", "lost", "place", "one", "two"],
+                names=["rid", "doc_id", "fingerprint", "text", "lost", "place", "one", "two"],
             )
 
     return run
 
 
+def _result(rows: pa.RecordBatch, counts, removed, kept) -> pa.RecordBatch:
+    own = [rows.column("doc_id"), rows.column("fingerprint")]
+    counted = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+    return pa.RecordBatch.from_arrays(
+        [*own, *counted], names=["doc_id", "fingerprint", "n_words", "n_removed", "kept"]
+    )
+
+
 def _untouched(width: int, shared):
     """The rows ``_candidates`` does not return, kept whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeats = shared.value
         for batch in batches:
-            docs, counts, kept = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            whole, counts, kept = [], [], []
+            docs = batch.column("doc_id").to_pylist()
+            for row, (doc, text) in enumerate(zip(docs, batch.column("text").to_pylist())):
                 tokens = words(text)
                 if doc is None or _maybe_windows(tokens, width, repeats) is None:
-                    docs.append(doc)
+                    whole.append(row)
                     counts.append(len(tokens))
                     kept.append(" ".join(tokens))
-            zeros = pa.array(np.zeros(len(docs), np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(counts, pa.int64()), zeros, pa.array(kept, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
+            rows = batch.take(pa.array(whole, pa.int64()))
+            yield _result(rows, counts, np.zeros(len(whole), np.int64), kept)
 
     return run
 
@@ -218,21 +223,32 @@ def _cut(width: int):
                 counts.append(len(tokens))
                 removed.append(number)
                 kept.append(rest)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(kept, pa.string()),
-                ],
-                names=["doc_id", "n_words", "n_removed", "kept"],
-            )
+            yield _result(batch, counts, removed, kept)
 
     return run
 
 
+def cut_documents(docs: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
+    """``docs``, with all its columns, without the repeats; rows left empty by that go.
+
+    A row that loses nothing keeps its text as it is; others have their words joined by one
+    blank, and ``n_chars``, if it is a column, counts again. Repeated rows stay as many.
+    """
+    cut = remove_repeats(docs, width).filter("n_removed > 0").dropDuplicates(["doc_id", "fingerprint"])
+    cut = cut.select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__print"), F.col("kept").alias("__kept"))
+    marked = docs.withColumn("__own", F.xxhash64("text"))
+    joined = marked.join(cut, (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__print")), "left")
+    hit = F.col("__kept").isNotNull()
+    changed = {"text": F.coalesce("__kept", "text")}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(hit, F.length("__kept").cast(kind)).otherwise(F.col("n_chars"))
+    kept = joined.filter(~hit | (F.col("__kept") != ""))
+    return kept.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
 def remove_repeats(df: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_removed`` and ``kept``, one row per row of ``df``.
+    """``doc_id``, ``fingerprint``, ``n_words``, ``n_removed`` and ``kept``, one row per row of ``df``.
 
     Every word is removed that a window of ``width`` words covers which also starts in a
     row with a smaller doc_id; ``kept`` has the other words joined by one blank. Windows
@@ -240,15 +256,15 @@ def remove_repeats(df: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
     has no words. A row without id neither removes nor loses anything; rows with the same
     id do not remove from each other.
     """
-    texts = only(df, doc_id="long", text="string")
+    texts = only(df, doc_id="long", text="string").withColumn("fingerprint", F.xxhash64("text"))
     repeats = df.sparkSession.sparkContext.broadcast(sketch_repeats(texts.filter("doc_id IS NOT NULL"), width))
-    schema = "rid long, doc_id long, text string, lost array<int>, place array<int>, one array<long>, two array<long>"
+    schema = "rid long, doc_id long, fingerprint long, text string, lost array<int>, place array<int>, one array<long>, two array<long>"
     numbered = texts.withColumn("rid", F.monotonically_increasing_id())
     maybe = settle(map_batches(numbered, _candidates(width, repeats), schema))
     windows = maybe.select("rid", "doc_id", F.inline(F.arrays_zip("place", "one", "two")))
     first = F.min("doc_id").over(Window.partitionBy("one", "two"))
     gone = windows.withColumn("first", first).filter(F.col("doc_id") > F.col("first"))
     gone = gone.groupBy("rid").agg(F.collect_list("place").alias("gone"))
-    result = "doc_id long, n_words long, n_removed long, kept string"
-    cut = map_batches(maybe.select("rid", "doc_id", "text", "lost").join(gone, "rid", "left"), _cut(width), result)
+    result = "doc_id long, fingerprint long, n_words long, n_removed long, kept string"
+    cut = map_batches(maybe.select("rid", "doc_id", "fingerprint", "text", "lost").join(gone, "rid", "left"), _cut(width), result)
     return cut.unionByName(map_batches(texts, _untouched(width, repeats), result))
