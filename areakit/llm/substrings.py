@@ -8,7 +8,7 @@ left of them is a bit per cell that at least two documents may have hit. Those b
 size set by the input and bounded by ``MOST_CELLS``, are broadcast.
 
 A second pass emits only windows whose anchor may be repeated, reduced per batch to the
-smallest id that holds them, and groups them exactly by 128 bits of hash. Nothing that
+smallest id that holds them, and groups them exactly by 96 bits of hash. Nothing that
 repeats is lost: a sketch never counts too little.
 """
 
@@ -133,7 +133,7 @@ def _kept(tokens: list[str], starts: np.ndarray, width: int) -> tuple[int, str]:
 
 
 def _maybe_windows(tokens: list[str], width: int, repeats: Repeats):
-    """Places and both hashes of the windows whose anchor may be repeated."""
+    """Places and both hashes (64 and 32 bits) of the windows whose anchor may be repeated."""
     if len(tokens) < width:
         return None
     hashes, found = anchors(tokens, width)
@@ -141,7 +141,8 @@ def _maybe_windows(tokens: list[str], width: int, repeats: Repeats):
     places = np.flatnonzero(repeats.maybe(distinct)[of])
     if not len(places):
         return None
-    return places, *(rolling(hashes, width, base)[places] for base in BASES)
+    one, two = (rolling(hashes, width, base)[places] for base in BASES)
+    return places, one, (spread(two) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _candidates(width: int, shared):
@@ -176,7 +177,7 @@ def _candidates(width: int, shared):
                     pa.array(split(places.astype(np.int32), lost), pa.list_(pa.int32())),
                     pa.array(split(places.astype(np.int32), ~lost), pa.list_(pa.int32())),
                     pa.array(split(one.view(np.int64), ~lost), pa.list_(pa.int64())),
-                    pa.array(split(two.view(np.int64), ~lost), pa.list_(pa.int64())),
+                    pa.array(split(two, ~lost), pa.list_(pa.int32())),
                 ],
                 names=["rid", "doc_id", "fingerprint", "text", "lost", "place", "one", "two"],
             )
@@ -258,7 +259,7 @@ def remove_repeats(df: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
     """
     texts = only(df, doc_id="long", text="string").withColumn("fingerprint", F.xxhash64("text"))
     repeats = df.sparkSession.sparkContext.broadcast(sketch_repeats(texts.filter("doc_id IS NOT NULL"), width))
-    schema = "rid long, doc_id long, fingerprint long, text string, lost array<int>, place array<int>, one array<long>, two array<long>"
+    schema = "rid long, doc_id long, fingerprint long, text string, lost array<int>, place array<int>, one array<long>, two array<int>"
     numbered = texts.withColumn("rid", F.monotonically_increasing_id())
     maybe = settle(map_batches(numbered, _candidates(width, repeats), schema))
     windows = maybe.select("rid", "doc_id", F.inline(F.arrays_zip("place", "one", "two")))
