@@ -27,8 +27,8 @@ from areakit.llm.windows import BASES, rolling, sliding_min, spread, word_hashes
 from areakit.session import settle
 
 WINDOW_WORDS = 50
-# Two sketch rows; cells per row follow the input's bytes between these bounds.
-ROWS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+# Three sketch rows; cells per row follow the input's bytes between these bounds.
+ROWS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 BYTES_PER_CELL = 16
 LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 30
 BLOCK_CELLS = 1 << 16
