@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
-from functools import reduce
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import areakit
+
 # A word is a run of characters that are not blank; blanks are these six.
 BLANKS = " \t\n\v\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -48,10 +51,20 @@ def only(df: DataFrame, **types: str) -> DataFrame:
     return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in types.items()))
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it lies, whatever folder they start in."""
+    root = str(Path(areakit.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes."""
+    reach_workers(df.sparkSession)
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -71,8 +84,3 @@ def running_offsets(totals: DataFrame, group: list[str], place: str, value: str,
     """The sum of ``value`` over the places before each one of its group."""
     before = Window.partitionBy(*group).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(*group, place, F.coalesce(F.sum(value).over(before), F.lit(0)).alias(name))
-
-
-def null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    """Equality of all ``columns``, where null equals null."""
-    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in columns])

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areakit.llm.common import only, running_offsets
+from areakit.llm.common import only, reach_workers, running_offsets
 from areakit.session import settle
 
 SHARDS = 24
@@ -77,6 +77,7 @@ def _local(shards: int):
 def group_shards(groups: DataFrame, shards: int = SHARDS, part_groups: int = PART_GROUPS) -> DataFrame:
     """``group`` and ``shard`` for rows of distinct ``group`` (long) with their ``bytes``."""
     spark = groups.sparkSession
+    reach_workers(spark)
     groups = settle(groups)
     parts = max(1, -(-groups.count() // part_groups))
     parted = groups.withColumn("part", F.pmod(F.xxhash64("group"), F.lit(parts)).cast("int"))
