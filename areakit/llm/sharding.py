@@ -1,12 +1,11 @@
 """Byte-balanced shards of indivisible groups by Karmarkar-Karp differencing.
 
-Documents with equal texts form a group that stays together. Every task differences the
-groups of its part into one partial partition: the two with the largest spread are
-combined, largest subset with smallest, until one is left. Those, one per part and a row
-of ``shards`` sums each, are differenced the same way by the driver, which only decides
-which subset of a part becomes which shard. A part holds about ``PART_GROUPS`` groups, so
-tasks are bounded, and the driver sees a fixed share (``shards`` / ``PART_GROUPS``) of the
-number of documents as plain sums.
+Documents with equal texts form a group that stays together. Groups above a small share
+of all bytes are items of their own; all others are dealt by hash to as many bundles as
+there may be such items, and each bundle is an item. So at any size there are at most
+``2 * shards * ITEMS_PER_SHARD`` items, plain sums that fit the driver. It differences
+them: the two partial partitions with the largest spread are combined, largest subset with
+smallest, until one is left. With hundreds of items a shard, sums end up bytes apart.
 """
 
 from __future__ import annotations
@@ -14,16 +13,15 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areakit.llm.common import only, reach_workers, running_offsets
+from areakit.llm.common import only, running_offsets
 from areakit.session import settle
 
 SHARDS = 24
 ROW_BYTES = 8  # what a document takes beside its text
-PART_GROUPS = 50_000
+ITEMS_PER_SHARD = 256
 SLOT_ROWS = 50_000
 
 
@@ -64,43 +62,29 @@ def difference(sums: np.ndarray) -> np.ndarray:
     return out
 
 
-def _local(shards: int):
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["bytes", "group"], ascending=[False, True], kind="stable")
-        sums = np.zeros((len(part), shards), np.int64)
-        sums[:, 0] = part["bytes"].to_numpy()
-        return part.assign(subset=difference(sums)[:, 0].astype("int32"))[["part", "group", "bytes", "subset"]]
-
-    return run
-
-
-def group_shards(groups: DataFrame, shards: int = SHARDS, part_groups: int = PART_GROUPS) -> DataFrame:
+def group_shards(groups: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``group`` and ``shard`` for rows of distinct ``group`` (long) with their ``bytes``."""
-    spark = groups.sparkSession
-    reach_workers(spark)
+    spark, items = groups.sparkSession, shards * ITEMS_PER_SHARD
     groups = settle(groups)
-    parts = max(1, -(-groups.count() // part_groups))
-    parted = groups.withColumn("part", F.pmod(F.xxhash64("group"), F.lit(parts)).cast("int"))
-    local = settle(
-        parted.groupBy("part").applyInPandas(_local(shards), "part int, group long, bytes long, subset int")
-    )
-    sums = local.groupBy("part", "subset").agg(F.sum("bytes").alias("bytes")).collect()
-    numbers = sorted({row["part"] for row in sums})
-    place = {part: i for i, part in enumerate(numbers)}
-    table = np.zeros((len(numbers), shards), np.int64)
-    for row in sums:
-        table[place[row["part"]], row["subset"]] = row["bytes"]
-    final = difference(table).tolist()
-    # The part as tie-breaker of nothing: each has one row, with the shard of each subset.
-    mapping = spark.createDataFrame(list(zip(numbers, final)), "part int, shards array<int>")
-    return local.join(mapping, "part").select("group", F.col("shards")[F.col("subset")].alias("shard"))
-
-
-def shard_documents(df: DataFrame, shards: int = SHARDS, part_groups: int = PART_GROUPS) -> DataFrame:
+    total = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("total")).first()["total"]
+    alone = F.col("bytes") > total // items  # at most ``items`` groups
+    bundle = F.pmod(F.xxhash64("group"), F.lit(items))
+    named = groups.withColumns({"alone": alone, "item": F.when(alone, F.col("group")).otherwise(bundle)})
+    sums = named.groupBy("alone", "item").agg(F.sum("bytes").alias("bytes")).collect()
+    sums.sort(key=lambda r: (-r["bytes"], r["alone"], r["item"]))
+    table = np.zeros((len(sums), shards), np.int64)
+    table[:, 0] = [r["bytes"] for r in sums]
+    final = difference(table)[:, 0].tolist()
+    rows = [(r["alone"], r["item"], shard) for r, shard in zip(sums, final)]
+    mapping = spark.createDataFrame(rows, "alone boolean, item long, shard int")
+    return named.join(F.broadcast(mapping), ["alone", "item"]).select("group", "shard")
+
+
+def shard_documents(df: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``law`` ("bytes"), ``shard``, ``slot`` and ``grown_shard`` (null).
 
     One row per row of ``df``. ``size`` is the text's UTF-8 bytes (null: none) plus 8; the
-    bytes of the shards are near equal, rows of equal text (null texts, too) share a shard,
+    bytes of the shards are near equal, rows of equal text share a shard (null counts as empty),
     and a shard's slots run from 0 without gaps. A null text has the crc32 of no bytes. Null
     and repeated doc_ids are kept; repeated rows get slots of their own, in either order.
     One group larger than a shard's share cannot be balanced and fills most of a shard.
@@ -111,11 +95,11 @@ def shard_documents(df: DataFrame, shards: int = SHARDS, part_groups: int = PART
             "doc_id",
             (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
-            F.xxhash64("text").alias("group"),
+            F.xxhash64(text).alias("group"),
         )
     )
     groups = base.groupBy("group").agg(F.sum("size").alias("bytes"))
-    sharded = base.join(group_shards(groups, shards, part_groups), "group")
+    sharded = base.join(group_shards(groups, shards), "group")
     buckets = max(1, -(-base.count() // (shards * SLOT_ROWS)))
     bucket = F.pmod(F.xxhash64("doc_id", "group"), F.lit(buckets)).cast("int")
     placed = settle(sharded.select("doc_id", "size", "text_crc32", "shard", bucket.alias("bucket")))
