@@ -77,7 +77,7 @@ def mix_sources(df: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max
     offsets = running_offsets(totals, ["place"], "bucket", "size", "offset")
     inside = Window.partitionBy("place", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     ordered = keyed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    epochs = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
+    epochs = F.when(F.col("size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0))
     left = F.col("budget") - F.col("epochs") * F.col("source_size") - F.col("offset") - F.col("inside")
     # A whole extra copy counts as an epoch, what is less as a cut.
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left")))
