@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from areakit.llm.common import hash_bucket, only, running_offsets, word_count, word_list
 from areakit.session import settle
 
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 REPEATS = 10_000
 
 
