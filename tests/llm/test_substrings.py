@@ -1,0 +1,89 @@
+"""Repeated windows against a plain recomputation."""
+
+import random
+import re
+
+import numpy as np
+
+from areakit.llm import substrings
+from areakit.llm.windows import BASES, rolling, sliding_min, word_hashes
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, width):
+    first, split = {}, [WORD.findall(t or "") for _, t, *_ in rows]
+    for (doc, *_), words in zip(rows, split):
+        for i in range(len(words) - width + 1) if doc is not None else ():
+            window = tuple(words[i : i + width])
+            first[window] = min(doc, first.get(window, doc))
+    out = []
+    for (doc, *_), words in zip(rows, split):
+        gone = set()
+        for i in range(len(words) - width + 1) if doc is not None else ():
+            if first[tuple(words[i : i + width])] < doc:
+                gone.update(range(i, i + width))
+        out.append((doc, len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)))
+    return out
+
+
+
+def test_rolling_hashes():
+    draw = np.random.default_rng(1)
+    values = draw.integers(0, 2**63, 70, dtype=np.uint64)
+    for width in (1, 2, 3, 7, 25, 50, 70):
+        expected = []
+        for i in range(71 - width):
+            total = 0
+            for v in values[i : i + width].tolist():
+                total = (total * BASES[0] + v) % 2**64
+            expected.append(total)
+        assert rolling(values, width, BASES[0]).tolist() == expected
+        least = [min(values[i : i + width].tolist()) for i in range(71 - width)]
+        assert sliding_min(values, width).tolist() == least
+    assert len(rolling(values[:10], 25, BASES[0])) == 0 and len(word_hashes(["a", "b"])) == 2
+
+
+def test_remove_repeats(frame, odd_rows):
+    draw = random.Random(3)
+    vocabulary = [f"t{i}" for i in range(2_000)]
+    passage = draw.choices(vocabulary, k=70)
+    rows = list(odd_rows)
+    for i in range(60):
+        words = draw.choices(vocabulary, k=draw.randrange(1, 160))
+        if i % 3 == 0:
+            at = draw.randrange(len(words))
+            words[at:at] = passage[draw.randrange(15) :]
+        rows.append((100 + i * 7 % 60, " ".join(words), "a"))
+    rows.append((90, rows[-1][1] + " tail", "b"))
+    rows += [(300 + i, "same " * 130, "b") for i in range(3)]
+    draw.shuffle(rows)
+    found = substrings.remove_repeats(frame(rows)).select("doc_id", "n_words", "n_removed", "kept")
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(brute(rows, 50), key=repr)
+    assert substrings.remove_repeats(frame([])).count() == 0
+
+
+def test_a_full_sketch_loses_nothing(frame, monkeypatch):
+    """Cells far too few: every window is estimated repeated, and the result is the same."""
+    monkeypatch.setattr(substrings, "LEAST_CELLS", 1 << 16)
+    monkeypatch.setattr(substrings, "MOST_CELLS", 1 << 16)
+    monkeypatch.setattr(substrings, "FLUSH", 50)
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choices("abc", k=40)), "a") for i in range(40)]
+    found = substrings.remove_repeats(frame(rows), 6).select("doc_id", "n_words", "n_removed", "kept")
+    assert sorted(map(tuple, found.collect())) == sorted(brute(rows, 6))
+
+
+def test_cut_documents(frame):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, passage, "a"), (2, f"own\n {passage}  words", "b"), (3, passage, "c"), (None, passage, "d"), (4, "x  y", "e")]
+    docs = frame(rows)
+    cut = substrings.cut_documents(docs)
+    assert cut.columns == docs.columns
+    found = {r.doc_id: (r.text, r.n_chars, r.source) for r in cut.collect()}
+    assert found == {
+        1: (passage, len(passage), "a"),
+        2: ("own words", 9, "b"),
+        None: (passage, len(passage), "d"),
+        4: ("x  y", 4, "e"),
+    }
