@@ -245,19 +245,20 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bags(size: int):
+    """Size, sketch and hashes of each wanted set, once per task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
-            right = [s if set_key(s) == k else None for s, k in zip(sets, batch.column("key").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    pa.array([0 if s is None else len(s) for s in right], pa.int64()),
-                    pa.array([None if s is None else parity_sketch(s) for s in right], pa.binary()),
-                    pa.array([None if s is None else s.tobytes() for s in right], pa.binary()),
-                ],
-                names=["key", "n", "sketch", "bag"],
-            )
+            found = []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                # An id may have other texts, too, and a text may be repeated.
+                if key not in seen and set_key(hashes := shingles(text, size)) == key:
+                    seen.add(key)
+                    found.append((key, len(hashes), parity_sketch(hashes), hashes.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "sketch", "bag"])
 
     return run
 
@@ -395,7 +396,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int])
     )
     met = live.select("key").distinct().join(sets, "key").select("key", F.col("first").alias("doc_id"))
     bags = map_batches(texts.join(met, "doc_id").select("key", "text"), _bags(size), "key long, n long, sketch binary, bag binary")
-    of = _Sets(settle(bags.filter("sketch IS NOT NULL").dropDuplicates(["key"])), share)
+    of = _Sets(settle(bags), share)
 
     tied = live.select("key", F.explode("hubs").alias("hub"))
     tied = tied.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
