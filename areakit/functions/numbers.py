@@ -1,7 +1,7 @@
 """Exact money means.
 
-Means are taken over whole cents, so no addition ever rounds and the result does
-not depend on the order in which partitions arrive. A sum of cents is kept as two
+Means are taken over whole millionths, so no addition ever rounds and the result does
+not depend on the order in which partitions arrive. A sum of them is kept as two
 integers (high and low bits): neither can overflow at any realistic row count,
 and both are plain long additions inside hash aggregation.
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SCALE = 1_000_000
 _LOW_BITS = 20
 _LOW_MASK = (1 << _LOW_BITS) - 1
 # Fractions are compared as integers of this many bits; 100 times one still fits
@@ -26,6 +27,17 @@ def cents(amount: str) -> str:
     return f"CAST(rint(CAST({amount} AS DOUBLE) * 100) AS BIGINT)"
 
 
+def units(amount: str) -> str:
+    """An amount as whole millionths; null if it is not finite or beyond 9e12."""
+    value = f"CAST({amount} AS DOUBLE)"
+    return f"CASE WHEN abs({value}) < 9e12D THEN CAST(rint({value} * {SCALE}D) AS BIGINT) END"
+
+
+def finite(value: Column) -> Column:
+    """A double, or null where it is NaN or infinite."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def high_bits(value: str) -> str:
     return f"shiftright({value}, {_LOW_BITS})"
 
@@ -36,7 +48,7 @@ def low_bits(value: str) -> str:
 
 def mean_parts(amount: str, prefix: str, where: str | None = None) -> list[Column]:
     """Aggregates ``<prefix>_hi, _lo, _n`` from which a mean can be finished later."""
-    value = cents(amount)
+    value = units(amount)
     if where is not None:
         value = f"CASE WHEN {where} THEN {value} END"
     return [
@@ -48,11 +60,11 @@ def mean_parts(amount: str, prefix: str, where: str | None = None) -> list[Colum
 
 def weighted_parts(amount: str, weight: str, prefix: str) -> list[Column]:
     """Like :func:`mean_parts` for rows that stand for ``weight`` equal rows."""
-    value = cents(amount)
+    value = units(amount)
     return [
         F.expr(f"sum({high_bits(value)} * {weight}) AS {prefix}_hi"),
         F.expr(f"sum({low_bits(value)} * {weight}) AS {prefix}_lo"),
-        F.expr(f"sum(CASE WHEN {amount} IS NOT NULL THEN {weight} END) AS {prefix}_n"),
+        F.expr(f"sum(CASE WHEN {value} IS NOT NULL THEN {weight} END) AS {prefix}_n"),
     ]
 
 
@@ -69,7 +81,7 @@ def finish_means(df: DataFrame, means: dict[str, str]) -> DataFrame:
     parts = {f"{p}_{part}" for p in means for part in ("hi", "lo", "n")}
     exact = [
         f"CASE WHEN {p}_n > 0 THEN "
-        f"(CAST({p}_hi AS DOUBLE) * {1 << _LOW_BITS}D + {p}_lo) / 100D / {p}_n END AS `{name}`"
+        f"(CAST({p}_hi AS DOUBLE) * {1 << _LOW_BITS}D + {p}_lo) / {SCALE}D / {p}_n END AS `{name}`"
         for p, name in means.items()
     ]
     kept = [f"`{c}`" for c in df.columns if c not in parts]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areakit import schemas
+from areakit.functions.numbers import finite
 from areakit.operators.reconcile import reconcile
 
 
@@ -43,11 +44,25 @@ def with_most_recent(income: DataFrame) -> DataFrame:
     return income.select(
         F.col(schemas.INCOME_NAME).alias("name"),
         "district_name",
-        most_recent(F.col("info"), "RFD").try_cast("double").alias("rfd"),
-        most_recent(F.col("info"), "pop").try_cast("double").alias("pop"),
+        finite(most_recent(F.col("info"), "RFD").try_cast("double")).alias("rfd"),
+        finite(most_recent(F.col("info"), "pop").try_cast("double")).alias("pop"),
     )
 
 
+def unusable_income(income: DataFrame) -> DataFrame:
+    """Areas left out of the profile because a latest value is no finite number, with both."""
+    latest = with_most_recent(income)
+    raw = income.select(
+        F.col(schemas.INCOME_NAME).alias("name"),
+        "district_name",
+        most_recent(F.col("info"), "RFD").cast("string").alias("rfd_text"),
+        most_recent(F.col("info"), "pop").cast("string").alias("pop_text"),
+    )
+    missing = latest.filter(F.col("rfd").isNull() | F.col("pop").isNull())
+    same = raw["name"].eqNullSafe(missing["name"]) & raw["district_name"].eqNullSafe(missing["district_name"])
+    return raw.join(missing, same, "left_semi").distinct()
+
+
 def income_profile(income: DataFrame, pairs: DataFrame) -> DataFrame:
     """Distinct latest indicators by reconciled name; areas without numbers left out."""
     usable = with_most_recent(income).filter(F.col("rfd").isNotNull() & F.col("pop").isNotNull())

@@ -10,12 +10,12 @@ from pyspark.sql import types as T
 
 from areakit import schemas
 from areakit.functions.numbers import (
-    cents,
     finish_means,
     high_bits,
     low_bits,
     mean_parts,
     merge_parts,
+    units,
 )
 from areakit.operators.ordering import with_row_index
 
@@ -40,7 +40,7 @@ def price_by_area_nested(nested: DataFrame) -> DataFrame:
     def total(of: str) -> str:
         return f"aggregate(prices, 0L, (sum, price) -> sum + {of})"
 
-    prices = f"filter(transform(`Info Idealista`, x -> {cents('x.price')}), c -> c IS NOT NULL)"
+    prices = f"filter(transform(`Info Idealista`, x -> {units('x.price')}), c -> c IS NOT NULL)"
     counted = nested.selectExpr(
         "Neighborhood AS neighborhood",
         f"{prices} AS prices",
@@ -68,11 +68,20 @@ def ranked(kpi: DataFrame) -> DataFrame:
 
 
 def rent_income_pairs(nested: DataFrame) -> DataFrame:
-    """Monthly rent and income index of every area.
+    """Monthly rent and income index of every area, once however many parts it has."""
+    columns = [schemas.MONTHLY_PRICE, "RFD most recent"]
+    return nested.select("Neighborhood", *columns).distinct().select(*columns)
 
-    Only the first part of an area counts, so a split area is one pair.
+
+def rent_income_of_listed(profile: DataFrame, listings: DataFrame) -> DataFrame:
+    """The same from an area profile, for the areas that have listings.
+
+    The newest copy of a property may move to another area, so ``listings`` are the newest.
     """
-    return nested.filter(F.col("Info Part") == 0).select(schemas.MONTHLY_PRICE, "RFD most recent")
+    listed = listings.select("neighborhood").distinct()
+    return profile.join(listed, "neighborhood", "left_semi").select(
+        F.col("monthly_price").alias(schemas.MONTHLY_PRICE), F.col("rfd").alias("RFD most recent")
+    )
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

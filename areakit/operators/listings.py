@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areakit import schemas
-from areakit.operators.joins import join_measured
 from areakit.operators.latest import latest
-from areakit.operators.nesting import MAX_ELEMENTS, nest
+from areakit.operators.nesting import nest
 from areakit.operators.reconcile import reconcile
 
 PROVINCE = "Barcelona"
@@ -36,22 +35,22 @@ def latest_listings(listings: DataFrame, tie_breakers: list[str]) -> DataFrame:
 def flat_table(listings: DataFrame, profile: DataFrame) -> DataFrame:
     """One row per listing with its area's profile, under the published names.
 
-    The profile is measured before it is joined, so it should be settled.
+    Of a settled profile Spark knows the size: it is broadcast below the threshold, and
+    above it large areas are split by the skewed-join rule.
     """
-    joined = join_measured(listings, profile, ["neighborhood"])
+    joined = listings.join(profile, "neighborhood")
     return joined.select(*(F.col(c).alias(name) for name, c in schemas.FLAT_COLUMNS.items()))
 
 
 def nested_table(
-    listings: DataFrame, profile: DataFrame, max_elements: int = MAX_ELEMENTS
+    listings: DataFrame, profile: DataFrame, parts: int = 1
 ) -> DataFrame:
-    """One row per area with its listings as an array, under the published names.
+    """Each area's listings as arrays, under the published names.
 
-    An area of more than ``max_elements`` listings has several rows, told apart
-    by ``Info Part``; see :func:`areakit.operators.nesting.nest`. Both inputs are
-    read twice, so they should be settled.
+    One row per area and ``Info Part`` (0 to ``parts`` - 1) that holds any; see
+    :func:`areakit.operators.nesting.nest`.
     """
     info = F.struct("propertyCode", *schemas.LISTING_FIELDS)
-    nested = nest(listings, ["neighborhood"], info, "info", ["propertyCode"], max_elements)
-    joined = join_measured(nested, profile, ["neighborhood"])
+    nested = nest(listings, ["neighborhood"], info, "info", "propertyCode", parts)
+    joined = nested.join(profile, "neighborhood")
     return joined.select(*(F.col(c).alias(name) for name, c in schemas.NESTED_COLUMNS.items()))

@@ -1,41 +1,27 @@
-"""Grouping rows into arrays of bounded length."""
+"""Grouping rows into arrays, a fixed number of parts per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areakit.operators.joins import join_derived
 
-MAX_ELEMENTS = 50_000
+def element_part(key: Column, parts: int) -> Column:
+    """The part of 0 to ``parts`` - 1 that an element belongs to, by a hash of its key."""
+    draw = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
+    return (draw % parts).cast("int")
 
 
 def nest(
-    df: DataFrame,
-    keys: list[str],
-    element: Column,
-    name: str,
-    spread_by: list[str],
-    max_elements: int = MAX_ELEMENTS,
+    df: DataFrame, keys: list[str], element: Column, name: str, element_key: str, parts: int = 1
 ) -> DataFrame:
-    """One sorted array of ``element`` per key, or several for a large key.
+    """Sorted arrays of ``element``: one row per key and ``part`` that has any.
 
-    Rows must be distinct by ``spread_by``. A key with more than ``max_elements``
-    rows gets as many rows (``part`` 0, 1, ...) as keep each array near that
-    length; every element is in exactly one of them. All other keys have the one
-    row ``part`` = 0. ``df`` is read twice, so settle it if it is costly.
+    The caller states ``parts`` so that no array of the largest key outgrows a row; the
+    output key is (keys, part) at every size. Parts also spread a large key over tasks.
     """
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = rows.filter(F.col("_rows") > max_elements).select(
-        *keys, F.ceil(F.col("_rows") / max_elements).alias("_parts")
-    )
-    part = F.lit(0)
-    if not large.isEmpty():
-        df = join_derived(df, large, keys, "left")
-        spread = F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
-        part = F.coalesce(spread, F.lit(0))
     return (
-        df.withColumn("part", part)
+        df.withColumn("part", element_part(F.col(element_key), parts))
         .groupBy(*keys, "part")
         .agg(F.array_sort(F.collect_list(element)).alias(name))
     )

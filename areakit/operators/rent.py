@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areakit.functions.numbers import finish_means, mean_parts, merge_parts
+from areakit.functions.numbers import finish_means, finite, mean_parts, merge_parts
 from areakit.operators.reconcile import reconcile
 
 # The mark of a missing price and the words that tell a measure.
@@ -21,24 +21,33 @@ def clean_rent(rows: DataFrame, since: int) -> DataFrame:
     """Rows with a numeric price from the year ``since`` on; price and codes typed.
 
     Prices may come as text, where ``--`` and anything else that is no number
-    counts as missing, or as numbers. Area codes, where present, become integers.
+    counts as missing, or as numbers; one that is not finite is no price. Area codes,
+    where present, become integers, also from texts such as ``1.0``.
     """
     price = F.col("Preu")
     if isinstance(rows.schema["Preu"].dataType, T.StringType):
         price = F.when(price != MISSING_PRICE, price.try_cast("double"))
-    codes = {c: F.col(c).try_cast("int") for c in ("Codi_Barri", "Codi_Districte") if c in rows.columns}
+    codes = {c: area_code(F.col(c)) for c in ("Codi_Barri", "Codi_Districte") if c in rows.columns}
     return (
         rows.filter(F.col("Any") >= since)
-        .withColumns({"Preu": price.cast("double"), **codes})
+        .withColumns({"Preu": finite(price.cast("double")), **codes})
         .filter(F.col("Preu").isNotNull())
     )
 
 
+def area_code(code: Column) -> Column:
+    """A code as an integer; null where its number is not whole."""
+    number = code.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int"))
+
+
 def unusable_prices(rows: DataFrame) -> DataFrame:
-    """Texts in the price column that are neither numbers nor the missing mark, counted."""
+    """Values in the price column that are neither finite numbers nor the missing mark, counted."""
+    price = F.col("Preu").cast("string")
     return (
-        rows.filter(F.col("Preu") != MISSING_PRICE)
-        .filter(F.col("Preu").try_cast("double").isNull())
+        rows.withColumn("Preu", price)
+        .filter(price != MISSING_PRICE)
+        .filter(finite(price.try_cast("double")).isNull())
         .groupBy("Preu")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -86,8 +95,11 @@ def rent_two_year(means: DataFrame, current: int, previous: int) -> DataFrame:
 
 
 def rent_yoy(means: DataFrame, current: int, previous: int) -> DataFrame:
-    """Both prices of the current year and their increase over the area's previous one."""
-    by_area = Window.partitionBy("Nom_Barri")
+    """Both prices of the current year and their increase over the area's previous one.
+
+    Areas are told apart by name and codes; some names occur in several districts.
+    """
+    by_area = Window.partitionBy("Nom_Barri", "Codi_Barri", "Codi_Districte")
 
     def increase(column: str) -> Column:
         before = F.max(F.when(F.col("Any") == previous, F.col(column))).over(by_area)

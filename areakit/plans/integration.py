@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from areakit import schemas
-from areakit.operators.income import income_profile
+from areakit.operators.income import income_profile, unusable_income, with_most_recent
 from areakit.operators.listings import (
     PROVINCE,
     flat_table,
+    in_scope,
     latest_listings,
     nested_table,
     reconciled_listings,
 )
-from areakit.operators.nesting import MAX_ELEMENTS
-from areakit.operators.reconcile import lookup_pairs
+from areakit.operators.reconcile import lookup_pairs, unmatched
 from areakit.operators.rent import (
     RENT_KEYS,
     area_profile,
@@ -25,8 +27,10 @@ from areakit.operators.rent import (
     rent_parts,
     rent_profile,
     rent_two_year,
+    unusable_prices,
 )
 from areakit.session import settle
+from areakit.sources.lookups import repeated_names
 from areakit.sources.tables import overwrite_table
 
 CURRENT_YEAR = 2021
@@ -67,7 +71,7 @@ def integrate(
     province: str = PROVINCE,
     current: int = CURRENT_YEAR,
     previous: int = PREVIOUS_YEAR,
-    max_elements: int = MAX_ELEMENTS,
+    parts: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """The flat and the nested formatted table.
 
@@ -76,7 +80,34 @@ def integrate(
     columns = ["neighborhood", "propertyCode", *schemas.LISTING_FIELDS]
     listings = settle(build_listings(landing, tie_breakers, province).select(*columns))
     profile = settle(build_profile(landing, current, previous))
-    return flat_table(listings, profile), nested_table(listings, profile, max_elements)
+    return flat_table(listings, profile), nested_table(listings, profile, parts)
+
+
+def integration_rejects(
+    landing: Landing, province: str = PROVINCE, previous: int = PREVIOUS_YEAR
+) -> DataFrame:
+    """What :func:`integrate` leaves out or would repeat: ``kind``, ``value`` and ``n_rows``.
+
+    Names without a lookup row, prices and income values that are no finite numbers, and
+    lookup names that occur more than once.
+    """
+    income_pairs = lookup_pairs(landing.income_lookup, "neighborhood", "neighborhood_reconciled")
+    rent_pairs = lookup_pairs(landing.rent_lookup, "ne", "ne_re")
+    used = landing.rent.filter(F.col("Any") >= previous)
+    found = {
+        "listing name": unmatched(in_scope(landing.listings, province), rent_pairs, "neighborhood"),
+        "income name": unmatched(with_most_recent(landing.income), income_pairs, "name"),
+        "rent name": unmatched(clean_rent(landing.rent, previous), income_pairs, "Nom_Barri"),
+        "rent price": unusable_prices(used),
+        "income value": unusable_income(landing.income).groupBy("name").agg(F.count(F.lit(1)).alias("n_rows")),
+        "income lookup name": repeated_names(landing.income_lookup, "neighborhood"),
+        "rent lookup name": repeated_names(landing.rent_lookup, "ne"),
+    }
+    named = [
+        df.toDF("value", "n_rows").select(F.lit(kind).alias("kind"), F.col("value").cast("string"), "n_rows")
+        for kind, df in found.items()
+    ]
+    return reduce(DataFrame.unionAll, named)
 
 
 def publish_formatted(flat: DataFrame, nested: DataFrame, zone: str, fmt: str = "parquet") -> None:

@@ -9,6 +9,7 @@ from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, Vect
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areakit.functions.numbers import finite
 from areakit.operators.ordering import with_row_index
 
 # Column names and forest parameters of the published model.
@@ -31,16 +32,29 @@ def training_subset(flat: DataFrame) -> DataFrame:
     )
 
 
+def usable_rows(df: DataFrame) -> DataFrame:
+    """Rows with a finite price, all that the model can take; see :func:`unusable_rows`."""
+    return df.filter(finite(F.col(PRICE)).isNotNull())
+
+
+def unusable_rows(df: DataFrame) -> DataFrame:
+    """How many rows of each area :func:`usable_rows` leaves out."""
+    left_out = df.filter(finite(F.col(PRICE)).isNull())
+    return left_out.groupBy(CATEGORY).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def train_rooms(
     flat: DataFrame, index_all: bool = False, seed: int = 7
 ) -> tuple[PipelineModel, DataFrame]:
     """The model fitted on the training listings of the flat table, and its
-    predictions for the others.
+    predictions for the others. Rows without a finite price take no part.
 
     With ``index_all`` the indexers learn their values from all listings.
     """
     sided = flat.withColumn("_side", split_side(F.col("Property Code")))
-    train, test = (training_subset(sided.filter(F.col("_side") == s)) for s in ("train", "test"))
+    train, test = (
+        usable_rows(training_subset(sided.filter(F.col("_side") == s))) for s in ("train", "test")
+    )
     model = fit_rooms(train, training_subset(flat) if index_all else None, seed)
     return model, predict(model, test)
 
@@ -69,7 +83,7 @@ def feature_stages() -> list:
         StringIndexer(inputCol=CATEGORY, outputCol=CATEGORY_INDEX, handleInvalid="keep"),
         OneHotEncoder(inputCol=CATEGORY_INDEX, outputCol=CATEGORY_ONE_HOT),
         VectorAssembler(
-            inputCols=[CATEGORY_ONE_HOT, PRICE], outputCol=FEATURES, handleInvalid="skip"
+            inputCols=[CATEGORY_ONE_HOT, PRICE], outputCol=FEATURES, handleInvalid="error"
         ),
     ]
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from areakit import schemas
 from areakit.functions.names import strip_quotes
-from areakit.operators.nesting import MAX_ELEMENTS, nest
+from areakit.operators.nesting import nest
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -46,13 +46,14 @@ def neighborhood_lookup(extended: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def district_lookup(extended: DataFrame, max_elements: int = MAX_ELEMENTS) -> DataFrame:
-    """Districts with the ids of their neighborhoods, in the shape of the district lookup."""
+def district_lookup(extended: DataFrame, parts: int = 1) -> DataFrame:
+    """Districts with the ids of their neighborhoods, in the shape of the district lookup.
+
+    With several ``parts`` a district has a row for each of them that holds any.
+    """
     columns = ["district_id", "district", "district_n", "district_n_reconciled"]
     pairs = extended.select(*columns, "neighborhood_id").distinct()
-    nested = nest(
-        pairs, columns, F.col("neighborhood_id"), "ids", ["neighborhood_id"], max_elements
-    )
+    nested = nest(pairs, columns, F.col("neighborhood_id"), "ids", "neighborhood_id", parts)
     return nested.select(
         F.col("district_id").alias("_id"),
         "district",

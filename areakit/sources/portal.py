@@ -16,11 +16,26 @@ PORTAL = "https://opendata-ajuntament.barcelona.cat"
 
 # Fixed patterns: an anchor element with its parts.
 ANCHOR = r"(?is)<a\s[^>]*>.*?</a>"
-HREF = r'(?is)^<a\s[^>]*?href="([^"]*)"'
-CLASS = r'(?is)^<a\s[^>]*?class="([^"]*)"'
+HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+CLASS = r"""(?is)^<a\s(?:[^>]*?\s)?class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 TAG = r"(?s)<[^>]*>"
 
 
+# The named character references of markup; the ampersand comes last.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def unescaped(text: Column) -> Column:
+    for reference, character in ENTITIES.items():
+        text = F.replace(text, F.lit(reference), F.lit(character))
+    return text
+
+
+def _attribute(anchor: Column, pattern: str) -> Column:
+    """An attribute's value however it is quoted; at most one group matches."""
+    return F.concat(*(F.regexp_extract(anchor, pattern, group) for group in (1, 2, 3)))
+
+
 def present_files(spark: SparkSession, directory: str) -> DataFrame:
     """Paths of all files below a folder that hold anything, without reading them."""
     return (
@@ -48,7 +63,7 @@ def missing_topic_years(
 def page_links(pages: DataFrame, html: str = "html", css_class: str | None = None) -> DataFrame:
     """Every anchor with an ``href``: its place in the page, address, and text."""
     anchor = F.col("_anchor")
-    href = F.regexp_extract(anchor, HREF, 1)
+    href = unescaped(_attribute(anchor, HREF))
     found = pages.select(
         *(c for c in pages.columns if c != html),
         F.posexplode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))).alias(
@@ -56,10 +71,10 @@ def page_links(pages: DataFrame, html: str = "html", css_class: str | None = Non
         ),
     ).filter(anchor.rlike(HREF))
     if css_class:
-        classes = F.split(F.regexp_extract(anchor, CLASS, 1), r"\s+")
+        classes = F.split(unescaped(_attribute(anchor, CLASS)), r"\s+")
         found = found.filter(F.array_contains(classes, css_class))
     return found.select(
-        "*", F.trim(href).alias("href"), F.trim(F.regexp_replace(anchor, TAG, "")).alias("text")
+        "*", F.trim(href).alias("href"), F.trim(unescaped(F.regexp_replace(anchor, TAG, ""))).alias("text")
     ).drop("_anchor")
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areakit.functions.paths import FILE_PATH
-from areakit.operators.joins import join_derived
 from areakit.operators.ordering import with_row_index
 from areakit.session import settle
 
@@ -133,7 +132,7 @@ def read_reports(
     kept = ["file"]
     if positions:
         lines, kept = with_position(lines), ["file", "block", "place"]
-    rows = join_derived(lines, places, ["file"])
+    rows = lines.join(places, "file")
     parsed = rows.filter(F.col("line") != F.col("header_line")).select(
         *kept,
         _any_dialect(F.col("line"), F.col("separator"), width).alias("_fields"),

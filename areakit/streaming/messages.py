@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from areakit.functions.numbers import finite
+
 CATEGORY = "Neighborhood_ID"
 PRICE = "Price"
 
@@ -22,8 +24,9 @@ def message_stream(spark: SparkSession, fmt: str, path: str | None = None, **opt
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    named = {"kafka.bootstrap.servers": servers, "subscribe": topic}
-    return message_stream(spark, "kafka", **named, **options)
+    """Messages of a topic, from its first one unless ``startingOffsets`` says otherwise."""
+    named = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+    return message_stream(spark, "kafka", **{**named, **options})
 
 
 def field(value: Column, place: int) -> Column:
@@ -32,11 +35,15 @@ def field(value: Column, place: int) -> Column:
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Area id and price of each message, batch or streaming; ``value`` is kept."""
+    """Area id and price of each message, batch or streaming; ``value`` is kept.
+
+    A blank area id is none, and a price that is not finite is no number.
+    """
+    area = field(F.col("value"), 1)
     return messages.select(
         "value",
-        field(F.col("value"), 1).alias(CATEGORY),
-        field(F.col("value"), 2).try_cast("double").alias(PRICE),
+        F.when(F.trim(area) != "", area).alias(CATEGORY),
+        finite(field(F.col("value"), 2).try_cast("double")).alias(PRICE),
     )
 
 
@@ -56,7 +63,7 @@ def rejected(parsed: DataFrame) -> DataFrame:
 def reject_reason() -> Column:
     return (
         F.when(F.col(CATEGORY).isNull(), "no area")
-        .when(field(F.col("value"), 2).isNull(), "no price")
+        .when(F.coalesce(F.trim(field(F.col("value"), 2)), F.lit("")) == "", "no price")
         .when(F.col(PRICE).isNull(), "price is no number")
     )
 
@@ -69,8 +76,12 @@ def append_to(
     every: str | None = None,
     partition_by: str | None = None,
     name: str | None = None,
+    once: bool = True,
 ) -> StreamingQuery:
-    """Start an append query; without ``every`` it stops when it has caught up.
+    """Start an append query that stops when it has caught up.
+
+    With ``every`` or with ``once`` false it goes on taking what arrives, in batches that
+    start every so often or as soon as the one before is done.
 
     ``checkpoint`` belongs to this query and source alone: restarting with it
     continues after the last committed batch.
@@ -82,8 +93,8 @@ def append_to(
         writer = writer.partitionBy(partition_by)
     if name:
         writer = writer.queryName(name)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    writer = writer.trigger(**trigger)
+    if every or once:
+        writer = writer.trigger(**({"processingTime": every} if every else {"availableNow": True}))
     return writer.start(path) if path else writer.start()
 
 

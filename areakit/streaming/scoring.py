@@ -38,8 +38,9 @@ def score_stream(
 ) -> None:
     """Score a message stream with a saved model into a sink for some time.
 
-    Without ``every`` it ends when it has caught up; see
-    :func:`areakit.streaming.messages.append_to`.
+    With ``seconds`` it takes messages as they arrive until the time is up, without any it
+    ends when it has caught up; see :func:`areakit.streaming.messages.append_to`.
     """
     scored = score_messages(messages, load_model(model_path))
-    run_for(append_to(scored, checkpoint, fmt, path, every), seconds)
+    query = append_to(scored, checkpoint, fmt, path, every, once=seconds is None)
+    run_for(query, seconds)

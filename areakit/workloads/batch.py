@@ -14,6 +14,7 @@ from areakit.operators.latest import latest, latest_by_aggregate
 from areakit.operators.listings import flat_table, in_scope, nested_table
 from areakit.operators.reconcile import lookup_pairs, unmatched
 from areakit.operators.rent import clean_rent, rent_two_year, rent_yoy
+from areakit.plans.integration import Landing, integration_rejects
 from areakit.sources.lookups import district_lookup
 from areakit.session import settle
 from areakit.workloads import roles
@@ -68,7 +69,7 @@ def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    districts = district_lookup(roles.extended_lookup(spark, sf_dir))
+    districts = district_lookup(roles.extended_lookup(spark, sf_dir), roles.PARTS)
     return districts.withColumn("neighborhood_id", F.array_join("neighborhood_id", ","))
 
 
@@ -144,7 +145,7 @@ def integrated_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["neighborhood", "propertyCode", *schemas.LISTING_FIELDS]
     listings = settle(roles.newest_listings(spark, sf_dir).select(*columns))
-    return nested_table(listings, settle(roles.profile(spark, sf_dir)))
+    return nested_table(listings, settle(roles.profile(spark, sf_dir)), roles.PARTS)
 
 
 def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +155,27 @@ def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested(spark, sf_dir).withColumn("Info Idealista", F.array_join(text, ";"))
 
 
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What integration leaves out, with unreadable prices and a repeated lookup name planted."""
+    facts = roles.rent_facts(spark, sf_dir, as_text=True)
+    price = F.when(F.col("l_linenumber") == roles.UNREADABLE_LINE, roles.UNREADABLE).otherwise(F.col("Preu"))
+    suppliers = roles.table(spark, sf_dir, "supplier").join(
+        roles.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    areas = suppliers.select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("Nom_Barri"))
+    rent = facts.withColumn("Preu", price).join(areas, "l_suppkey")
+    names = roles.income_lookup(spark, sf_dir)
+    again = names.filter(F.col("_id") == f"Q{roles.REPEATED}").withColumn("_id", F.lit("again"))
+    landing = Landing(
+        roles.income_documents(spark, sf_dir),
+        rent,
+        roles.listings(spark, sf_dir),
+        names.unionByName(again),
+        roles.rent_lookup(spark, sf_dir),
+    )
+    return integration_rejects(landing, roles.PROVINCE, roles.PREVIOUS_YEAR)
+
+
 def integration_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = integrated_flat(spark, sf_dir)
     by_area = flat.groupBy("Neighborhood").agg(F.count(F.lit(1)).alias("n"))
@@ -177,7 +199,9 @@ def kpi1_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of the areas that have listings, as the nested table holds them."""
-    return kpi.rent_income_pairs(_nested(spark, sf_dir))
+    return kpi.rent_income_of_listed(
+        roles.profile(spark, sf_dir), roles.newest_listings(spark, sf_dir)
+    )
 
 
 def kpi2_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +239,7 @@ QUERIES = {
     "integrated_flat": integrated_flat,
     "nested_listings": nested_listings,
     "integration_counts": integration_counts,
+    "integration_rejects": rejects,
     "kpi1_nested": kpi1_nested,
     "kpi1_ranked": kpi1_ranked,
     "kpi2_pairs": kpi2_pairs,

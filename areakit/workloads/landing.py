@@ -179,15 +179,25 @@ def listing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "listings")
     rows = _raw_listings(spark, sf_dir)
     fields = [c for c in rows.columns if c not in ("snapshot", "listing_id")]
-    arrays = nest(rows, ["snapshot"], F.struct(*fields), "listings", ["listing_id"])
+    arrays = nest(rows, ["snapshot"], F.struct(*fields), "listings", "listing_id", parts=4)
     arrays.select("snapshot", F.to_json("listings").alias("value")).write.partitionBy(
         "snapshot"
     ).text(path)
     return _seen(snapshots.read_listing_json(spark, path))
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose addresses are quoted in the three ways markup allows, in turn."""
+    html, turn = F.col("html"), F.col("page_id") % 3
+    single = F.regexp_replace(html, 'href="([^"]*)"', "HREF = '$1'")
+    bare = F.regexp_replace(html, 'href="([^"\\s>\']+)"', "href=$1")
+    return roles.table(spark, sf_dir, "pages").withColumn(
+        "html", F.when(turn == 1, single).when(turn == 2, bare).otherwise(html)
+    )
+
+
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = portal.page_links(roles.table(spark, sf_dir, "pages"))
+    links = portal.page_links(_pages(spark, sf_dir))
     return links.select(
         "page_id",
         "pos",
@@ -201,7 +211,7 @@ def report_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last link of each wanted key, the keys being the starts of benchmark words."""
     words = roles.table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
     wanted = words.select(F.left(F.lower("w"), F.lit(4)).alias("year"))
-    links = portal.page_links(roles.table(spark, sf_dir, "pages"))
+    links = portal.page_links(_pages(spark, sf_dir))
     return portal.report_links(links, ["page_id", "pos"], wanted)
 
 

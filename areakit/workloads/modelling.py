@@ -45,25 +45,35 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]
 
 
 def model_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each test part, and whether its predicted label is the one its index stands for."""
     model, test = _fitted(spark, sf_dir)
+    named = F.array(*map(F.lit, [*model.stages[0].labels, rooms.UNKNOWN_LABEL]))
+    label = F.element_at(named, F.col("prediction").cast("int") + 1)
     return rooms.predict(model, test).select(
-        "p_partkey", rooms.CATEGORY, rooms.PRICE, "prediction", rooms.PREDICTED
+        "p_partkey", rooms.CATEGORY, rooms.PRICE, (label == F.col(rooms.PREDICTED)).alias("label_is_named")
     )
 
 
 def model_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accuracy table's row count, and whether it agrees with the evaluator."""
     model, test = _fitted(spark, sf_dir)
-    return rooms.accuracy_table(rooms.predict(model, test))
+    predictions = rooms.predict(model, test)
+    expected = rooms.accuracy(predictions)
+    agrees = F.abs(F.col("accuracy") - F.lit(expected)) < 1e-9
+    return rooms.accuracy_table(predictions).select("n_rows", agrees.alias("equals_evaluator"))
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of the saved and reloaded model."""
+    """Whether the saved and reloaded model predicts the same for each test part."""
     model, test = _fitted(spark, sf_dir)
     path = scratch(spark, "rooms-model")
     rooms.save_model(model, path)
-    return rooms.predict(rooms.load_model(path), test).select(
-        "p_partkey", "prediction", rooms.PREDICTED
+    before, after = (
+        rooms.predict(m, test).select("p_partkey", F.struct("prediction", rooms.PREDICTED).alias(name))
+        for m, name in ((model, "before"), (rooms.load_model(path), "after"))
     )
+    same = (F.col("before") == F.col("after")).alias("same_prediction")
+    return before.join(after, "p_partkey").select("p_partkey", same)
 
 
 def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +135,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part messages scored by the model fitted on the training parts."""
+    """Part messages scored as a stream, and whether the batch scores them the same."""
     model, _ = _fitted(spark, sf_dir)
     stream = messages.message_stream(
         spark, "text", _written(spark, roles.part_messages(spark, sf_dir))
@@ -133,7 +143,12 @@ def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.score_messages(stream, model)
     target = scratch(spark, "scored")
     messages.run_for(messages.append_to(scored, f"{target}-log", path=target))
-    return spark.read.schema(scored.schema).parquet(target)
+    streamed = spark.read.schema(scored.schema).parquet(target)
+    batch = scoring.score_messages(roles.part_messages(spark, sf_dir), model).distinct()
+    keys, values = [messages.CATEGORY, messages.PRICE], ["prediction", "predicted_rooms"]
+    expected = batch.select(*keys, F.struct(*values).alias("expected"))
+    same = (F.struct(*values) == F.col("expected")).alias("equals_batch")
+    return streamed.join(expected, keys).select(*keys, same)
 
 
 QUERIES = {

@@ -8,14 +8,18 @@ from areakit.workloads import landing, roles
 
 
 def mean2(total: str, n: str) -> str:
-    """The two-decimal mean of a sum of cents; ``format`` rounds the binary value."""
-    return f"CAST(format('{{:.2f}}', CAST({total} AS DOUBLE) / 100e0 / ({n})) AS DOUBLE) + 0e0"
+    """The two-decimal mean of a sum of millionths; ``format`` rounds the binary value."""
+    return f"CAST(format('{{:.2f}}', CAST({total} AS DOUBLE) / 1000000e0 / ({n})) AS DOUBLE) + 0e0"
 
 
 def cents(amount: str) -> str:
     return f"CAST(round({amount} * 100) AS BIGINT)"
 
 
+def units(amount: str) -> str:
+    return f"CAST(round({amount} * 1000000) AS BIGINT)"
+
+
 def normalized(name: str) -> str:
     return (
         f"trim(regexp_replace(translate(lower({name}), '{ACCENTED}', '{PLAIN}'), "
@@ -23,6 +27,10 @@ def normalized(name: str) -> str:
     )
 
 
+def part(key: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % {roles.PARTS} AS INTEGER)"
+
+
 RECONCILED = "('Nation ' || substr(n_name, 8))"
 CURRENT, PREVIOUS = roles.CURRENT_YEAR, roles.PREVIOUS_YEAR
 
@@ -63,7 +71,7 @@ rent_rows AS (
   SELECT l_orderkey, l_linenumber, l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS "Any",
          CASE l_returnflag WHEN 'A' THEN '{roles.SURFACE_KIND}'
               ELSE '{roles.MONTHLY_KIND}' END AS "Lloguer_mitja",
-         l_extendedprice AS price
+         l_extendedprice * l_discount AS price
   FROM lineitem WHERE l_returnflag IN ('A', 'R') AND year(l_shipdate) >= {PREVIOUS}
 )"""
 AREA = (
@@ -74,7 +82,7 @@ AREA = (
 
 def _kind_mean(kind: str) -> str:
     where = f"FILTER (WHERE \"Lloguer_mitja\" = '{kind}')"
-    return mean2(f"sum({cents('price')}) {where}", f"count(*) {where}")
+    return mean2(f"sum({units('price')}) {where}", f"count(*) {where}")
 
 
 RENT_MEANS = f"""{RENT_ROWS},
@@ -103,7 +111,7 @@ INCOME = f"""
 income AS (
   SELECT n_name AS name, r_name AS district_name, n_nationkey,
          CAST(year(o_orderdate) AS INTEGER) AS year,
-         {mean2(f"sum({cents('c_acctbal')})", "count(*)")} AS rfd, count(*) AS pop
+         {mean2(f"sum({units('c_acctbal')})", "count(*)")} AS rfd, count(*) AS pop
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey
   GROUP BY ALL
@@ -127,7 +135,7 @@ profile AS (
 INTEGRATED = f"""{PROFILE},
 {NEWEST.strip()},
 flat AS (SELECT n.*, p.* EXCLUDE (neighborhood) FROM newest n JOIN profile p USING (neighborhood))"""
-KPI1_COLUMNS = f"""neighborhood, {mean2(f"sum({cents('price')})", "count(price)")} AS average_price,
+KPI1_COLUMNS = f"""neighborhood, {mean2(f"sum({units('price')})", "count(price)")} AS average_price,
          count(*) AS n_listings"""
 
 YEARLY = f"""
@@ -160,15 +168,18 @@ links AS (
 
 MESSAGES = f"""
 messages AS (
-  SELECT event_id, event_type, CAST({cents('value')} AS VARCHAR) AS price,
-         CAST(event_id AS VARCHAR) || ',' || event_type || CASE event_type
-           WHEN 'error' THEN '' WHEN 'signup' THEN ',n/a'
-           ELSE ',' || CAST({cents('value')} AS VARCHAR) END AS value
-  FROM events
+  SELECT event_id, event_type, fault, CAST({cents('value')} AS VARCHAR) AS price,
+         CAST(event_id AS VARCHAR) || ',' || CASE fault WHEN 'blank' THEN ' ' ELSE event_type END ||
+         CASE event_type WHEN 'error' THEN '' WHEN 'signup' THEN ',n/a'
+           ELSE ',' || CASE fault WHEN 'nan' THEN 'NaN' ELSE CAST({cents('value')} AS VARCHAR) END
+         END AS value
+  FROM (SELECT *, CASE WHEN event_type IN ('error', 'signup') THEN event_type
+    WHEN event_id % {roles.BLANK_EVERY} = 0 THEN 'blank'
+    WHEN event_id % {roles.NAN_EVERY} = 0 THEN 'nan' ELSE 'none' END AS fault FROM events)
 )"""
 PARSED = f"""WITH {MESSAGES}
 SELECT event_type AS "Neighborhood_ID", CAST(price AS DOUBLE) AS "Price"
-FROM messages WHERE event_type NOT IN ('error', 'signup')"""
+FROM messages WHERE fault = 'none'"""
 
 
 def _index(column: str) -> str:
@@ -178,6 +189,7 @@ def _index(column: str) -> str:
   FROM part GROUP BY 1)"""
 
 
+TEST_SIDE = "CAST('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 70"
 DEDUPED = f"WITH {NEWEST} SELECT neighborhood, {LISTING_FIELDS} FROM newest"
 KPI1 = f"WITH {NEWEST} SELECT {KPI1_COLUMNS} FROM newest GROUP BY neighborhood"
 CORR = "round(corr({x}, {y}), 3)"
@@ -202,8 +214,8 @@ SELECT 'Q' || CAST(n_nationkey AS VARCHAR) AS _id, n_name AS district,
        {normalized('n_name')} AS district_name, {RECONCILED} AS district_reconciled,
        string_agg('S' || CAST(s_suppkey AS VARCHAR), ','
                   ORDER BY 'S' || CAST(s_suppkey AS VARCHAR)) AS neighborhood_id,
-       CAST(0 AS INTEGER) AS part
-FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_nationkey, n_name""",
+       {part("'S' || CAST(s_suppkey AS VARCHAR)")} AS part
+FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_nationkey, n_name, part""",
     "reconcile_listings": f"""
 WITH {SCOPED} SELECT listing_id, neighborhood, {LISTING_FIELDS} FROM scoped""",
     "reconcile_unmatched": f"""
@@ -221,11 +233,11 @@ FROM income GROUP BY name, district_name""",
     "rent_means": f"WITH {RENT_MEANS} SELECT * FROM means",
     "rent_two_year": f"WITH {TWO_YEAR} SELECT * FROM two_year",
     "rent_yoy": f"""
-WITH {RENT_MEANS} SELECT "Nom_Barri", n."Nom_Districte", n."Codi_Barri", n."Codi_Districte",
+WITH {RENT_MEANS} SELECT "Nom_Barri", n."Nom_Districte", "Codi_Barri", "Codi_Districte",
   n.surface_price, n.monthly_price,
   round(n.surface_price - b.surface_price, 2) AS surface_increase,
   round(n.monthly_price - b.monthly_price, 2) AS monthly_increase
-FROM means n JOIN means b USING ("Nom_Barri") WHERE n."Any" = {CURRENT} AND b."Any" = {PREVIOUS}""",
+FROM means n JOIN means b USING ("Nom_Barri", "Codi_Barri", "Codi_Districte") WHERE n."Any" = {CURRENT} AND b."Any" = {PREVIOUS}""",
     "rent_profile": f"WITH {RENT_PROFILE} SELECT * FROM rent_profile",
     "area_profile": f"WITH {PROFILE} SELECT * FROM profile",
     "integrated_flat": f"""
@@ -245,7 +257,7 @@ WITH {INTEGRATED} SELECT neighborhood AS "Neighborhood", neighborhood_id AS "Nei
   string_agg("propertyCode" || '|' || CAST(date AS VARCHAR) || '|' ||
              CAST({cents('price')} AS VARCHAR) || '|' || CAST(rooms AS VARCHAR) || '|' || floor,
              ';' ORDER BY "propertyCode") AS "Info Idealista",
-  CAST(0 AS INTEGER) AS "Info Part"
+  {part('"propertyCode"')} AS "Info Part"
 FROM flat GROUP BY ALL""",
     "integration_counts": f"""
 WITH {INTEGRATED} SELECT count(*) AS flat_rows, count(DISTINCT neighborhood) AS nested_rows
@@ -319,9 +331,28 @@ FROM part""",
     "stream_parse": PARSED,
     "stream_restart": PARSED,
     "stream_rejects": f"""
-WITH {MESSAGES} SELECT value, event_type AS "Neighborhood_ID",
-  CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(price AS DOUBLE) END AS "Price",
-  CASE event_type WHEN 'error' THEN 'no price' WHEN 'signup' THEN 'price is no number' END AS reason,
-  CASE WHEN event_type IN ('error', 'signup') THEN 'rejected' ELSE 'accepted' END AS route
+WITH {MESSAGES} SELECT value, CASE WHEN fault <> 'blank' THEN event_type END AS "Neighborhood_ID",
+  CASE WHEN fault IN ('none', 'blank') THEN CAST(price AS DOUBLE) END AS "Price",
+  CASE fault WHEN 'error' THEN 'no price' WHEN 'blank' THEN 'no area' WHEN 'none' THEN NULL
+    ELSE 'price is no number' END AS reason,
+  CASE WHEN fault = 'none' THEN 'accepted' ELSE 'rejected' END AS route
 FROM messages""",
+    "model_predict": f"""
+SELECT p_partkey, p_brand AS "Neighborhood_ID", p_retailprice AS "Price", true AS label_is_named
+FROM part WHERE {TEST_SIDE}""",
+    "model_accuracy": f"""
+SELECT count(*) AS n_rows, true AS equals_evaluator FROM part WHERE {TEST_SIDE}""",
+    "model_roundtrip": f"SELECT p_partkey, true AS same_prediction FROM part WHERE {TEST_SIDE}",
+    "stream_predict": """
+SELECT p_brand AS "Neighborhood_ID", p_retailprice AS "Price", true AS equals_batch FROM part""",
+    "integration_rejects": f"""
+WITH {LISTINGS}
+SELECT 'listing name' AS kind, raw_name AS value, count(*) AS n_rows FROM listings
+WHERE province = '{roles.PROVINCE}' AND raw_name NOT IN (SELECT replace(n_name, '_', '-') FROM nation)
+GROUP BY raw_name
+UNION ALL
+SELECT 'rent price', '{roles.UNREADABLE}', count(*) FROM lineitem
+WHERE l_linenumber = {roles.UNREADABLE_LINE} AND year(l_shipdate) >= {PREVIOUS} HAVING count(*) > 0
+UNION ALL
+SELECT 'income lookup name', n_name, CAST(2 AS BIGINT) FROM nation WHERE n_nationkey = {roles.REPEATED}""",
 }

@@ -34,6 +34,10 @@ PREVIOUS_YEAR = 2000
 PROVINCE = "F"
 TIE_BREAKERS = ["listing_id"]
 UNSTATED = "No consta"
+PARTS = 3
+BLANK_EVERY, NAN_EVERY = 7, 11
+# Planted for the report of what integration leaves out.
+UNREADABLE, UNREADABLE_LINE, REPEATED = "n/d", 7, 3
 
 SURFACE_KIND = "Lloguer mitjà per superfície (Euros/m2 mes)"
 MONTHLY_KIND = "Lloguer mitjà mensual (Euros/mes)"
@@ -172,12 +176,12 @@ def rent_facts(
 ) -> DataFrame:
     """Rent rows still keyed by supplier; contract counts carry no price.
 
-    Prices are numbers, or text with a mark for the missing ones. The date bound
+    Prices have four decimals. They are numbers, or text with a mark for the missing ones. The date bound
     says what ``Any`` will be filtered by, in a form the Parquet reader can skip
     row groups with.
     """
     flag = F.col("l_returnflag")
-    price = F.when(flag != "N", F.col("l_extendedprice"))
+    price = F.when(flag != "N", F.col("l_extendedprice") * F.col("l_discount"))
     if as_text:
         price = F.coalesce(price.cast("string"), F.lit(MISSING_PRICE))
     return (
@@ -297,10 +301,16 @@ def rooms_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as message text; errors lack a price and sign-ups have a bad one."""
-    kind = F.col("event_type")
-    head = F.concat_ws(",", F.col("event_id").cast("string"), kind)
+    """Events as message text; errors lack a price and sign-ups have a bad one.
+
+    Of the others, some have a blank area and some a price that is no finite number.
+    """
+    kind, number = F.col("event_type"), F.col("event_id")
+    area = F.when(~kind.isin("error", "signup") & (number % BLANK_EVERY == 0), " ").otherwise(kind)
+    head = F.concat_ws(",", number.cast("string"), area)
     cents_text = F.rint(F.col("value") * 100).cast("bigint").cast("string")
+    odd = (number % BLANK_EVERY != 0) & (number % NAN_EVERY == 0)
+    cents_text = F.when(odd, "NaN").otherwise(cents_text)
     return table(spark, sf_dir, "events").select(
         F.when(kind == "error", head)
         .when(kind == "signup", F.concat_ws(",", head, F.lit("n/a")))

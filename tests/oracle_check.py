@@ -18,6 +18,7 @@ TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -51,9 +51,9 @@ def test_weights_count_rows(spark):
     assert finish_means(merged, {"m": "mean"}).first()["mean"] == printed(7.0 / 3)
 
 
-def test_sums_beyond_a_long_of_cents(spark):
-    """The total of cents here does not fit a long."""
-    df = spark.range(1).select(F.lit(90_000_000.01).alias("v"), F.lit(3_000_000_000_000).alias("w"))
+def test_sums_beyond_a_long_of_millionths(spark):
+    """The total of millionths here does not fit a long."""
+    df = spark.range(1).select(F.lit(90_000_000.01).alias("v"), F.lit(30_000_000_000).alias("w"))
     merged = df.agg(*weighted_parts("v", "w", "m"))
     assert finish_means(merged, {"m": "mean"}).first()["mean"] == 90_000_000.01
 

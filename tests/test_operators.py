@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 from areakit import schemas
 from areakit.operators import kpi
-from areakit.operators.income import income_profile, most_recent, nest_income, with_most_recent
-from areakit.operators.joins import join_derived, salted_join
+from areakit.operators.income import (
+    income_profile,
+    most_recent,
+    nest_income,
+    unusable_income,
+    with_most_recent,
+)
 from areakit.operators.latest import latest, latest_by_aggregate
 from areakit.operators.listings import flat_table, in_scope, nested_table
 from areakit.operators.nesting import nest
@@ -35,32 +40,6 @@ def hot(spark):
     return spark.createDataFrame(data, "k string, v int").repartition(6)
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_and_broadcast_joins_agree(spark, rows, hot, how):
-    few = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4)], "k string, x int")
-    plain = rows(hot.join(few, ["k"], how))
-    assert rows(salted_join(hot, few, ["k"], how)) == plain
-    assert rows(join_derived(hot, few, ["k"], how)) == plain
-    assert rows(join_derived(hot, few, ["k"], how, broadcast_bytes=0)) == plain
-
-
-def test_salted_join_spreads_a_hot_key(spark, hot):
-    few = spark.createDataFrame([("hot", 1)], "k string, x int")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        used = salted_join(hot, few, ["k"]).select(F.spark_partition_id()).distinct().count()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert used > 1
-
-
-def test_salted_join_refuses_what_it_would_repeat(spark, hot):
-    with pytest.raises(ValueError):
-        salted_join(hot, hot, ["k"], "full")
-
-
 def test_row_index_is_the_total_order(spark, hot):
     df = hot.distinct()
     got = {(r["k"], r["v"]): r["row_index"] for r in with_row_index(df, [F.col("k").desc(), "v"]).collect()}
@@ -133,20 +112,19 @@ def test_adaptive_execution_splits_a_hot_join_key_below_latest(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_nest_splits_only_large_keys(spark, hot):
+def test_nest_parts_follow_the_element(spark, hot):
     df = hot.distinct()
-    nested = nest(df, ["k"], F.struct("v"), "vs", ["v"], max_elements=20).collect()
     parts = {}
-    for r in nested:
-        parts.setdefault(r["k"], []).append([x["v"] for x in r["vs"]])
+    for r in nest(df, ["k"], F.struct("v"), "vs", "v", parts=4).collect():
+        parts.setdefault(r["k"], {})[r["part"]] = [x["v"] for x in r["vs"]]
     sizes = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
-    assert len(parts["hot"]) > 1
+    assert set(parts["hot"]) == {0, 1, 2, 3}
     for key, arrays in parts.items():
-        assert all(a == sorted(a) for a in arrays)
-        assert sum(map(len, arrays)) == sizes[key]
-        if sizes[key] <= 20:
-            assert len(arrays) == 1
-    assert {v for a in parts["hot"] for v in a} == set(range(100))
+        assert all(a == sorted(a) for a in arrays.values())
+        assert sum(map(len, arrays.values())) == sizes[key]
+    whole = {r["k"]: [x["v"] for x in r["vs"]] for r in nest(df, ["k"], F.struct("v"), "vs", "v").collect()}
+    assert {k: sorted(v for a in p.values() for v in a) for k, p in parts.items()} == whole
+    assert {v for a in parts["hot"].values() for v in a} == set(range(100))
 
 
 def test_reconcile_and_its_complement(spark, rows):
@@ -305,7 +283,7 @@ def test_flat_and_nested_tables(spark, listings, profile, rows):
     nested = nested_table(listings, profile)
     assert nested.columns == list(schemas.NESTED_COLUMNS)
     assert {r["Neighborhood"]: len(r["Info Idealista"]) for r in nested.collect()} == {"A": 3, "B": 1}
-    split = nested_table(listings, profile, max_elements=1)
+    split = nested_table(listings, profile, parts=2)
     one = rows(kpi.price_by_area_nested(nested))
     assert one == [("A", 200.33, 3), ("B", 50.0, 1)]
     assert rows(kpi.price_by_area_nested(split)) == one
@@ -319,7 +297,7 @@ def test_split_areas_stay_one_pair(spark, profile):
     data = [("A", f"p{i}") for i in range(200)]
     cols = {f: F.lit(None).cast("double") for f in schemas.LISTING_FIELDS}
     many = spark.createDataFrame(data, "neighborhood string, propertyCode string").withColumns(cols)
-    nested = nested_table(many, profile, max_elements=10)
+    nested = nested_table(many, profile, parts=10)
     assert nested.count() > 1
     assert kpi.rent_income_pairs(nested).count() == 1
 
@@ -351,3 +329,35 @@ def test_correlation_of_one_row_is_null(spark):
 def test_scope(spark, rows):
     df = spark.createDataFrame([("Barcelona", 1), ("Girona", 2), (None, 3)], "province string, v int")
     assert rows(in_scope(df)) == [("Barcelona", 1)]
+
+
+def test_finer_prices_and_odd_numbers(spark, rows):
+    schema = "neighborhood string, price double"
+    data = [("A", 1.004), ("A", 1.014), ("B", float("nan")), ("B", 3.0), ("C", float("inf"))]
+    priced = kpi.price_by_area(spark.createDataFrame(data, schema))
+    assert rows(priced) == [("A", 1.01, 2), ("B", 3.0, 2), ("C", None, 1)]
+
+
+def test_rent_takes_odd_codes_and_reports_odd_prices(spark, rows):
+    data = [(2021, "x", "1.0", "NaN"), (2021, "x", "1.5", "2.5"), (2021, "x", "7", "--"), (2021, "x", "8", "Infinity")]
+    rent = spark.createDataFrame(data, "Any int, Nom_Barri string, Codi_Barri string, Preu string")
+    assert rows(clean_rent(rent, 2020).select("Codi_Barri", "Preu")) == [(None, 2.5)]
+    assert rows(unusable_prices(rent)) == [("Infinity", 1), ("NaN", 1)]
+    whole = rent.filter("Preu = 'NaN'").withColumn("Preu", F.lit(1.5))
+    assert rows(clean_rent(whole, 2020).select("Codi_Barri")) == [(1,)]
+
+
+def test_same_name_in_two_districts_is_two_areas(spark, rows):
+    data = [("A", 2021, "D", 1, 1, 5.0, 50.0), ("A", 2020, "D", 1, 1, 4.0, 40.0), ("A", 2020, "E", 2, 2, 9.0, 90.0)]
+    columns = "Nom_Barri string, Any int, Nom_Districte string, Codi_Barri int, Codi_Districte int, "
+    means = spark.createDataFrame(data, columns + "surface_price double, monthly_price double")
+    found = rent_yoy(means, 2021, 2020)
+    assert rows(found.select("Codi_Barri", "surface_increase", "monthly_increase")) == [(1, 1.0, 10.0)]
+
+
+def test_unusable_income_is_reported(spark, rows):
+    data = [("A ", "D", [(2015, "80", "10"), (2016, "-", "10")]), ("B", "D", [(2016, "70", "9")]), ("C", "D", [])]
+    income = spark.createDataFrame(
+        data, "`neigh_name ` string, district_name string, info array<struct<year:int,RFD:string,pop:string>>"
+    )
+    assert rows(unusable_income(income)) == [("A ", "D", "-", "10"), ("C", "D", None, None)]

@@ -1,3 +1,4 @@
+import threading
 from datetime import date
 
 import pytest
@@ -234,3 +235,17 @@ def test_train_from_the_flat_table_then_score_a_stream(spark, flats, tmp_path):
         stream, str(tmp_path / "model"), str(tmp_path / "log"), "parquet", out, seconds=60
     )
     assert [tuple(r)[::3] for r in spark.read.parquet(out).collect()] == [("Q3", "4")]
+
+
+def test_messages_that_arrive_while_a_run_lasts_are_scored(spark, tmp_path):
+    from areakit.streaming.messages import accepted, append_to, message_stream, parse_messages, run_for
+
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    (inbox / "a.txt").write_text("x,1,5.0\n")
+    parsed = accepted(parse_messages(message_stream(spark, "text", str(inbox))))
+    query = append_to(parsed, str(tmp_path / "log"), path=out, once=False)
+    threading.Timer(4, lambda: (inbox / "b.txt").write_text("x,2,6.0\nx, ,7.0\nx,3,NaN\n")).start()
+    run_for(query, 25)
+    found = spark.read.schema(parsed.schema).parquet(out).collect()
+    assert sorted((r[0], r[1]) for r in found) == [("1", 5.0), ("2", 6.0)]
