@@ -14,8 +14,8 @@ Rows that meet under one subset hash are candidates. Their number is kept linear
 * Equal sets are one set. In each meeting some members, by hash, are tied to all others.
 * A pair is first tested by parity sketches: the sketches' difference has at most as many
   bits as the sets' has elements, so no true link is refused.
-* The closest pair of each set is verified first; verified links form components, and
-  only pairs between different components are looked at again.
+* The closest pair of each set is verified first, then the closest one between each two
+  of the components that verified links form.
 * Last, all meetings that still hold several components are searched whole, in blocks of
   bounded size, for pairs between them that pass the sketch; those are verified, too.
 
@@ -43,6 +43,7 @@ WORDS = 4
 THRESHOLD = (85, 100)
 HUBS = 3
 SKETCH_BYTES = 64
+BAG_BYTES = 6  # of each hash, for the verification: tells the elements of two sets apart
 BLOCK_ROWS = 4_096
 
 # What a row under a subset hash stands for. Pairs of two rows count if one of them
@@ -71,6 +72,17 @@ def set_key(hashes: np.ndarray) -> int | None:
     return int(spread(np.array([total + np.uint64(len(hashes))])).view(np.int64)[0])
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """The low ``BAG_BYTES`` of each hash."""
+    return hashes.view(np.uint8).reshape(-1, 8)[:, :BAG_BYTES].tobytes()
+
+
+def unpacked(bag: bytes) -> np.ndarray:
+    wide = np.zeros((len(bag) // BAG_BYTES, 8), np.uint8)
+    wide[:, :BAG_BYTES] = np.frombuffer(bag, np.uint8).reshape(-1, BAG_BYTES)
+    return wide.view(np.uint64).ravel()
+
+
 def parity_sketch(hashes: np.ndarray) -> bytes:
     """A bit per residue: whether an odd number of elements fall there."""
     counts = np.bincount((hashes >> np.uint64(9)) % np.uint64(8 * SKETCH_BYTES), minlength=8 * SKETCH_BYTES)
@@ -255,7 +267,7 @@ def _bags(size: int):
                 # An id may have other texts, too, and a text may be repeated.
                 if key not in seen and set_key(hashes := shingles(text, size)) == key:
                     seen.add(key)
-                    found.append((key, len(hashes), parity_sketch(hashes), hashes.tobytes()))
+                    found.append((key, len(hashes), parity_sketch(hashes), packed(hashes)))
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "sketch", "bag"])
@@ -296,7 +308,7 @@ def _verify(share: tuple[int, int]):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("bag_a").to_pylist(), batch.column("bag_b").to_pylist()):
-                one, two = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                one, two = unpacked(a), unpacked(b)
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(whole * both >= part * (len(one) + len(two) - both))
             rows = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
@@ -358,23 +370,29 @@ def _between(share: tuple[int, int]):
     return run
 
 
+def _of_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(*(F.col(c).alias(side if c == "key" else f"{c}_{side}") for c in sets.columns)), side)
+    return pairs
+
+
 class _Sets:
     """Sizes, sketches and hashes of the sets that met others, by key."""
 
     def __init__(self, bags: DataFrame, share: tuple[int, int]):
         self.bags, self.share = bags, share
 
-    def _of_pairs(self, pairs: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            own = self.bags.select(F.col("key").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
-            pairs = pairs.join(own, side)
-        return pairs
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The hashes of the sets in ``pairs`` alone, so that verifying moves few."""
+        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        return settle(self.bags.select("key", "bag").join(keys, "key", "left_semi"))
 
     def sieve(self, pairs: DataFrame) -> DataFrame:
-        return map_batches(self._of_pairs(pairs, "n", "sketch"), _sieve(self.share), "a long, b long, gap long")
+        both = _of_pairs(pairs, self.bags.select("key", "n", "sketch"))
+        return map_batches(both, _sieve(self.share), "a long, b long, gap long")
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        return map_batches(self._of_pairs(pairs, "bag"), _verify(self.share), "a long, b long")
+    def verify(self, pairs: DataFrame, near: DataFrame) -> DataFrame:
+        return map_batches(_of_pairs(pairs, near), _verify(self.share), "a long, b long")
 
 
 def _labelled(frame: DataFrame, components: DataFrame, key: str, label: str) -> DataFrame:
@@ -383,8 +401,10 @@ def _labelled(frame: DataFrame, components: DataFrame, key: str, label: str) ->
 
 
 def _across(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    both = _labelled(_labelled(pairs, components, "a", "la"), components, "b", "lb")
-    return both.filter("la <> lb").drop("la", "lb")
+    """The closest pair between each two components."""
+    both = _labelled(_labelled(pairs, components, "a", "la"), components, "b", "lb").filter("la <> lb")
+    ends = (F.least("la", "lb").alias("one"), F.greatest("la", "lb").alias("two"))
+    return both.groupBy(*ends).agg(F.min(F.struct("gap", "a", "b")).alias("pair")).select("pair.a", "pair.b")
 
 
 def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
@@ -403,8 +423,9 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int])
     close = settle(of.sieve(tied))
     best = close.select(F.explode(F.array("a", "b")).alias("node"), F.struct("gap", "a", "b").alias("pair"))
     best = best.groupBy("node").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b").distinct()
-    links = settle(of.verify(best))
-    more = of.verify(_across(close, connected_components(links)).select("a", "b"))
+    near = of.near(close)
+    links = settle(of.verify(best, near))
+    more = of.verify(_across(close, connected_components(links)), near)
     links = settle(links.union(more))
     components = settle(connected_components(links))
 
@@ -424,8 +445,8 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int])
     order = ["sig", "i", "j"]
     spread_ = spread_.select(*order, "key", "tag", "label", "block", "n", "sketch")
     spread_ = spread_.repartition(*order).sortWithinPartitions(*order)
-    last = map_batches(spread_, _between(share), "a long, b long").distinct()
-    links = links.union(of.verify(last))
+    last = settle(map_batches(spread_, _between(share), "a long, b long").distinct())
+    links = links.union(of.verify(last, of.near(last)))
     return connected_components(links)
 
 
