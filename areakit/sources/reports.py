@@ -14,33 +14,33 @@ SEPARATORS = (",", ";")
 BYTE_ORDER_MARK = "\ufeff"
 
 
-def decoded(line: Column) -> Column:
-    """A line as text: UTF-8 where its bytes are that, else the legacy encoding."""
-    legacy = F.decode(line.cast("binary"), LEGACY_ENCODING)
-    return F.when(F.is_valid_utf8(line), line).otherwise(legacy)
+def decoded(line: Column, legacy: Column) -> Column:
+    """A line as text: UTF-8, or the legacy encoding for lines of such a file."""
+    return F.when(legacy, F.decode(line.cast("binary"), LEGACY_ENCODING)).otherwise(line)
 
 
-def _fields(line: Column, separator: str, width: int) -> Column:
-    """A CSV line as an array of ``width`` strings, null beyond its last field."""
+def with_fields(df: DataFrame, line: str, separator: str, width: int, name: str) -> DataFrame:
+    """Add the CSV fields of column ``line`` as an array of ``width`` strings.
+
+    Null beyond the last field. Each line is parsed once, by the branch of its separator:
+    the lambda binds the parsed struct, so reading its fields does not repeat the parse.
+    """
     names = [f"c{i}" for i in range(width)]
     ddl = ", ".join(f"{n} string" for n in names)
-    row = F.from_csv(line, F.lit(ddl), {"sep": separator, "escape": '"'})
-    return F.array(*(row[n] for n in names))
-
-
-def _any_dialect(line: Column, separator: Column, width: int) -> Column:
-    comma, semicolon = SEPARATORS
-    return F.when(separator == semicolon, _fields(line, semicolon, width)).otherwise(
-        _fields(line, comma, width)
+    comma, semicolon = (
+        F.from_csv(F.col(line), F.lit(ddl), {"sep": s, "escape": '"'}) for s in SEPARATORS
     )
+    parsed = F.when(F.col(separator) == SEPARATORS[1], semicolon).otherwise(comma)
+    fields = F.transform(F.array(parsed), lambda row: F.array(*(row[n] for n in names)))
+    return df.withColumn(name, F.get(fields, F.lit(0)))
 
 
 def _occurrences(text: Column, mark: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
 
 
 def read_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Every decoded line of the CSV files below a folder, with the file it is in."""
+    """Every line of the CSV files below a folder, not yet decoded, with the file it is in."""
     return (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
@@ -48,7 +48,7 @@ def read_lines(spark: SparkSession, directory: str) -> DataFrame:
         .select(
             F.col(FILE_PATH).alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            decoded(F.col("value")).alias("line"),
+            F.col("value").alias("line"),
         )
     )
 
@@ -61,30 +61,39 @@ def with_position(lines: DataFrame) -> DataFrame:
     return lines.withColumn("place", F.monotonically_increasing_id())
 
 
-def probe_headers(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """Each file's header and separator: its first line that names a wanted column.
+def probe_headers(lines: DataFrame) -> DataFrame:
+    """What each file is like, one row per file that has lines.
 
-    The separator is the one more frequent in that line, the comma in doubt. Only
-    lines of a file's first block compete. Lines that name no column are gone
-    before the aggregation.
+    ``header_line`` and ``header_place``: its first line, which is in its first block.
+    ``separator``: the one more frequent in that line, the comma in doubt. ``legacy``: some
+    line is no UTF-8. ``broken``: some line has an odd number of quotes, so a record goes on
+    in the next line. One row per file and task is left before anything is shuffled.
     """
-    named = F.lit(False)
-    for column in columns:
-        named = named | F.col("line").contains(column)
-    return _headers(lines, named)
-
-
-def _headers(lines: DataFrame, candidate: Column) -> DataFrame:
+    first = F.min(F.when(F.col("block") == 0, F.struct("place", "line")))
+    odd = _occurrences(F.col("line"), '"') % 2 == 1
     first = (
         with_position(lines)
-        .filter((F.col("block") == 0) & candidate)
         .groupBy("file")
-        .agg(F.min_by("line", "place").alias("header_line"))
+        .agg(
+            first.alias("first"),
+            F.max(~F.is_valid_utf8("line")).alias("legacy"),
+            F.max(odd).alias("broken"),
+        )
+        .select(
+            "file",
+            "legacy",
+            "broken",
+            decoded(F.col("first.line"), F.col("legacy")).alias("header_line"),
+            F.col("first.place").alias("header_place"),
+        )
     )
     comma, semicolon = (_occurrences(F.col("header_line"), s) for s in SEPARATORS)
     return first.select(
         "file",
+        "legacy",
+        "broken",
         "header_line",
+        "header_place",
         F.when(semicolon > comma, SEPARATORS[1]).otherwise(SEPARATORS[0]).alias("separator"),
         F.greatest(comma, semicolon).alias("marks"),
     )
@@ -94,15 +103,21 @@ def _width(headers: DataFrame) -> int:
     return (headers.agg(F.max("marks").alias("marks")).first()["marks"] or 0) + 1
 
 
-def _names(width: int) -> Column:
-    header = F.ltrim(F.col("header_line"), F.lit(BYTE_ORDER_MARK))
-    return F.transform(_any_dialect(header, F.col("separator"), width), lambda n: F.trim(n))
+def _with_names(headers: DataFrame, width: int) -> DataFrame:
+    bare = headers.withColumn("_header", F.ltrim("header_line", F.lit(BYTE_ORDER_MARK)))
+    fields = with_fields(bare, "_header", "separator", width, "_fields")
+    return fields.withColumn("_names", F.transform("_fields", lambda n: F.trim(n)))
+
+
+def broken_reports(spark: SparkSession, directory: str) -> DataFrame:
+    """Files that :func:`read_reports` leaves out, as their records go over several lines."""
+    return probe_headers(read_lines(spark, directory)).filter("broken").select("file")
 
 
 def report_columns(spark: SparkSession, directory: str) -> list[str]:
     """All column names in the first lines of the reports below a folder, sorted."""
-    headers = settle(_headers(read_lines(spark, directory), F.lit(True)))
-    names = headers.select(F.explode(_names(_width(headers))).alias("name")).distinct()
+    headers = settle(probe_headers(read_lines(spark, directory)))
+    names = _with_names(headers, _width(headers)).select(F.explode("_names").alias("name")).distinct()
     return sorted(r["name"] for r in names.filter(F.col("name") != "").collect())
 
 
@@ -112,32 +127,35 @@ def read_reports(
     """The given columns, by name and as text, of every CSV report below a folder.
 
     Reports may differ in encoding, separator and columns; a column a report lacks
-    is null, and a file with none of them has no rows. All files are parsed in one
-    scan: each line is matched with its file's separator and the places of the
-    wanted columns in its header. ``file`` keeps the path, and with ``positions``
+    is null, and a file with none of them has no rows. Nor has one with records of
+    several lines, which :func:`broken_reports` names. The header is a file's first
+    line, and only that line is left out. All files are parsed in one scan: each line
+    is matched with its file's separator and the places of the wanted columns in its
+    header. ``file`` keeps the path, and with ``positions``
     ``block`` and ``place`` keep the order of lines within it.
     """
     lines = read_lines(spark, directory)
-    headers = settle(probe_headers(lines, columns))
+    headers = settle(probe_headers(lines))
     width = _width(headers)
-    places = headers.withColumn("_names", _names(width)).select(
-        "file",
-        "header_line",
-        "separator",
-        *(
-            (F.array_position("_names", F.lit(c)) - 1).cast("int").alias(f"_at{i}")
-            for i, c in enumerate(columns)
-        ),
-    )
-    kept = ["file"]
-    if positions:
-        lines, kept = with_position(lines), ["file", "block", "place"]
-    rows = lines.join(places, "file")
-    parsed = rows.filter(F.col("line") != F.col("header_line")).select(
-        *kept,
-        _any_dialect(F.col("line"), F.col("separator"), width).alias("_fields"),
-        *(f"_at{i}" for i in range(len(columns))),
+    places = settle(
+        _with_names(headers, width).select(
+            "file",
+            "header_place",
+            "separator",
+            "legacy",
+            "broken",
+            *(
+                (F.array_position("_names", F.lit(c)) - 1).cast("int").alias(f"_at{i}")
+                for i, c in enumerate(columns)
+            ),
+        )
     )
+    kept = ["file", "block", "place"] if positions else ["file"]
+    wanted = F.greatest(*(F.col(f"_at{i}") for i in range(len(columns))), F.lit(-1)) >= 0
+    rows = with_position(lines).join(places.filter(wanted & ~F.col("broken")), "file")
+    rows = rows.filter((F.col("block") != 0) | (F.col("place") != F.col("header_place")))
+    rows = rows.withColumn("line", decoded(F.col("line"), F.col("legacy")))
+    parsed = with_fields(rows, "line", "separator", width, "_fields")
     return parsed.select(
         *kept,
         *(

@@ -151,6 +151,27 @@ def test_reports_of_all_dialects(spark, folder, rows):
     )
 
 
+def test_only_the_first_line_is_a_header(spark, folder, rows):
+    put(folder / "a.csv", "Any,Preu\n2014,1\nAny,Preu\n2014,Any Preu\n")
+    put(folder / "b.csv", "ANY,PREU\nx,Any Preu\nAny,Preu\n1,2\n")
+    put(folder / "c.csv", 'Any,Preu\n2015,"el\nRaval"\n2015,3\n')
+    put(folder / "d.csv", "Any,Preu\n2016,\u00c3\u00a9\n2016,\u00ff\n", "iso-8859-1")
+    got = reports.read_reports(spark, str(folder), ["Any", "Preu"])
+    expected = [("2014", "1"), ("Any", "Preu"), ("2014", "Any Preu"), ("2016", "\u00c3\u00a9"), ("2016", "\u00ff")]
+    assert rows(got.drop("file")) == sorted(expected)
+    assert [r[0].rsplit("/", 1)[1] for r in reports.broken_reports(spark, str(folder)).collect()] == ["c.csv"]
+
+
+def test_each_line_is_parsed_once_per_separator(spark, folder, rows):
+    names = [f"c{i}" for i in range(24)]
+    put(folder / "a.csv", ",".join(names) + "\n" + ",".join("x" * 24) + "\n")
+    assert rows(reports.read_reports(spark, str(folder), names).drop("file")) == [("x",) * 24]
+    few = folder / "few"
+    put(few / "a.csv", "c0,c1,c2\nx,y,z\n")
+    plan = reports.read_reports(spark, str(few), names[:3])._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("from_csv(") == 2
+
+
 def test_reports_written_and_indexed(spark, folder, rows):
     df = spark.createDataFrame([(2015, "b", 1), (2014, "ú;\"", 2), (2015, "a", 3)], "Any int, n string, v int")
     reports.write_reports(df, str(folder / "csv"), "Any", "accidents")
