@@ -1,9 +1,11 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are a text's distinct lower-case words and their five-letter beginnings. Training
-keeps the hash buckets whose frequency differs most between the classes and fits, over
-them, a bias, a weight each and a vector each whose products weigh pairs of terms: words
-that offend only together get a score that no sum of single weights gives.
+takes every hash bucket that ``MIN_DOCUMENTS`` sampled documents share and fits, over all
+of them, a bias, a weight each and a vector each whose products weigh pairs of terms: words
+that offend only together get a score that no sum of single weights gives. Terms whose
+frequency differs between the classes, alone or beside such a term, learn in full steps,
+all others in small ones, so that rare words do not learn single documents by heart.
 """
 
 from __future__ import annotations
@@ -20,14 +22,14 @@ from pyspark.sql import functions as F
 
 from areakit.llm.common import map_batches, only
 from areakit.llm.labelled import held_out, labelled_sample, predicted
-from areakit.session import settle
 
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 8_000  # labelled documents used for training, at most
-FEATURES = 1_024
 FACTORS = 8
 MIN_DOCUMENTS = 3
-MIN_Z = 3.5
+MIN_Z, MIN_PAIR_Z = 3.5, 6.0  # of a term, and of one among the documents of such a term
+SMALL_STEP = 0.03
+EPOCHS, RATE = 10, 0.3
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)
 BEGINNING = 5
@@ -65,28 +67,76 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, features: int, epochs: int = 30, rate: float = 0.1):
-    """Bias, weights and vectors by AdaGrad on the log loss; ``rows`` hold feature numbers."""
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums over consecutive runs of ``sizes`` rows, some of which may be empty."""
+    out = np.zeros((len(sizes), *values.shape[1:]))
+    filled = sizes > 0
+    if filled.any():
+        out[filled] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[filled], axis=0)
+    return out
+
+
+def _deviation(toxic: np.ndarray, n: np.ndarray, all_toxic: float, of: int) -> np.ndarray:
+    """By how many deviations ``toxic`` of ``n`` documents differ from a draw out of ``of``."""
+    share = n / of
+    return np.abs(toxic - all_toxic * share) / np.sqrt(all_toxic * (1 - all_toxic / of) * share * (1 - share) + 0.25)
+
+
+def marked(rows: list[np.ndarray], labels: np.ndarray, features: int) -> np.ndarray:
+    """Which terms differ between the classes, alone or beside a term that does alone."""
+    flat, sizes = np.concatenate(rows), np.array([len(r) for r in rows])
+    n = np.bincount(flat, minlength=features)
+    toxic = np.bincount(flat, np.repeat(labels, sizes), features)
+    alone = _deviation(toxic, n, labels.sum(), len(rows)) >= MIN_Z
+    found = alone.copy()
+    owner = np.repeat(np.arange(len(rows)), sizes)[np.argsort(flat, kind="stable")]
+    ends = np.cumsum(n)
+    for term in np.flatnonzero(alone).tolist():
+        own = owner[ends[term] - n[term] : ends[term]]
+        beside = np.concatenate([rows[i] for i in own.tolist()])
+        both = np.bincount(beside, minlength=features)
+        both_toxic = np.bincount(beside, np.repeat(labels[own], sizes[own]), features)
+        found |= _deviation(both_toxic, both, toxic[term], len(own)) >= MIN_PAIR_Z
+    return found
+
+
+def fit(
+    rows: list[np.ndarray],
+    labels: np.ndarray,
+    features: int,
+    epochs: int = 30,
+    rate: float = 0.1,
+    steps: np.ndarray | None = None,
+):
+    """Bias, weights and vectors by AdaGrad on the log loss; ``rows`` hold feature numbers.
+
+    ``steps`` scales the learning rate of each feature, 1 if not given.
+    """
     random = np.random.default_rng(17)
-    vectors = random.normal(0, 0.02, (features, FACTORS))
+    steps = np.ones(features) if steps is None else steps
+    vectors = random.normal(0, 0.02, (features, FACTORS)) * steps[:, None]
     weights, bias = np.zeros(features), np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
     seen_w, seen_v, seen_b = np.full(features, 1e-2), np.full(vectors.shape, 1e-2), 1e-2
+    sizes = np.array([len(r) for r in rows])
     for _ in range(epochs):
         for batch in np.array_split(random.permutation(len(rows)), max(1, len(rows) // 256)):
-            x = np.zeros((len(batch), features))
-            for i, row in enumerate(batch):
-                x[i, rows[row]] = 1
-            sums = x @ vectors
-            value = bias + x @ weights + 0.5 * ((sums**2) - x @ (vectors**2)).sum(axis=1)
+            own = sizes[batch]
+            met, at = np.unique(np.concatenate([rows[i] for i in batch.tolist()]), return_inverse=True)
+            owner = np.repeat(np.arange(len(batch)), own)
+            w, v = weights[met], vectors[met]
+            sums = _sums(v[at], own)
+            value = bias + _sums(w[at], own) + 0.5 * (sums**2 - _sums(v[at] ** 2, own)).sum(axis=1)
             error = (1 / (1 + np.exp(-np.clip(value, -30, 30))) - labels[batch]) / len(batch)
-            slope_w = x.T @ error + 1e-5 * weights
-            slope_v = x.T @ (error[:, None] * sums) - (x.T @ error)[:, None] * vectors + 1e-5 * vectors
-            slope_b = error.sum()
-            seen_w += slope_w**2
-            seen_v += slope_v**2
+            pull = np.bincount(at, error[owner], len(met))
+            pairs = (error[:, None] * sums)[owner]
+            slope_v = np.stack([np.bincount(at, pairs[:, f], len(met)) for f in range(FACTORS)], axis=1)
+            slope_v += 1e-5 * v - pull[:, None] * v
+            slope_w, slope_b = pull + 1e-5 * w, error.sum()
+            seen_w[met] += slope_w**2
+            seen_v[met] += slope_v**2
             seen_b += slope_b**2
-            weights -= rate * slope_w / np.sqrt(seen_w)
-            vectors -= 0.3 * rate * slope_v / np.sqrt(seen_v)
+            weights[met] -= rate * steps[met] * slope_w / np.sqrt(seen_w[met])
+            vectors[met] -= 0.3 * rate * steps[met, None] * slope_v / np.sqrt(seen_v[met])
             bias -= rate * slope_b / np.sqrt(seen_b)
     return float(bias), weights, vectors
 
@@ -94,41 +144,32 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, features: int, epochs: int =
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [
-            sorted({b for w in text_words(t) for b in word_buckets(w)}) for t in batch.column("text").to_pylist()
+            np.array(sorted({b for w in text_words(t) for b in word_buckets(w)}), "<i4").tobytes()
+            for t in batch.column("text").to_pylist()
         ]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(found, pa.list_(pa.int32()))], names=["label", "buckets"]
+            [batch.column("label"), pa.array(found, pa.binary())], names=["label", "buckets"]
         )
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Fit on at most ``sample_rows`` labelled documents; only kept buckets reach the driver."""
+    """Fit on at most ``sample_rows`` labelled documents; only their buckets reach the driver."""
     sample = labelled_sample(docs, labels, "toxic", held_out(*HELD_OUT), sample_rows)
-    rows = settle(map_batches(sample, _bucketed, "label int, buckets array<int>"))
-    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
-    n, toxic = totals["n"], totals["toxic"]
+    found = map_batches(sample, _bucketed, "label int, buckets binary").collect()
+    found.sort(key=lambda r: (bytes(r["buckets"]), r["label"]))  # whatever order tasks end in
+    n, toxic = len(found), sum(r["label"] for r in found)
     slot_of = np.full(BUCKETS, -1, np.int32)
     if not 0 < toxic < n:
         bias = float(np.log((toxic + 0.5) / (n - toxic + 0.5)))
         return Machine(bias, slot_of, np.zeros(0), np.zeros((0, FACTORS)))
-    share = F.col("n") / n
-    z = (F.col("toxic") - toxic * share) / F.sqrt(toxic * share * (1 - share) + 0.25)
-    kept = (
-        rows.select("label", F.explode("buckets").alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
-        .filter((F.col("n") >= MIN_DOCUMENTS) & (F.abs(z) >= MIN_Z))
-        .orderBy(F.abs(z).desc(), "bucket")
-        .select("bucket")
-        .limit(FEATURES)
-    )
-    buckets = [row["bucket"] for row in kept.collect()]
-    slot_of[buckets] = np.arange(len(buckets))
-    chosen = F.array(*map(F.lit, buckets)) if buckets else F.array().cast("array<int>")
-    found = rows.select("label", F.array_intersect("buckets", chosen).alias("buckets")).collect()
-    features = [slot_of[np.array(row["buckets"], np.int64)] for row in found]
-    target = np.array([row["label"] for row in found], np.float64)
-    bias, weights, vectors = fit(features, target, len(buckets))
+    rows = [np.frombuffer(r["buckets"], "<i4") for r in found]
+    frequency = np.bincount(np.concatenate(rows), minlength=BUCKETS)
+    shared = np.flatnonzero(frequency >= MIN_DOCUMENTS)
+    slot_of[shared] = np.arange(len(shared))
+    rows = [slots[slots >= 0] for slots in (slot_of[r] for r in rows)]
+    target = np.array([r["label"] for r in found], np.float64)
+    steps = np.where(marked(rows, target, len(shared)), 1, SMALL_STEP)
+    bias, weights, vectors = fit(rows, target, len(shared), EPOCHS, RATE, steps)
     return Machine(bias, slot_of, weights, vectors)
 
 

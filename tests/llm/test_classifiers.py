@@ -31,6 +31,29 @@ def test_factorization_learns_pairs():
     assert (vectors[0] @ vectors[1]) > 0.5 and additive[0] < np.log(both / (1 - both))
 
 
+def test_training_keeps_terms_without_a_signal_of_their_own(spark, frame):
+    """The mention is as frequent in both classes and offends only beside the insult."""
+    draw = random.Random(8)
+    vocabulary = [f"tok{chr(97 + i)}en" for i in range(26)]
+    docs, labels = [], []
+    for i in range(2_400):
+        case = i % 16
+        insult, mention, bad = case in (0, 8), case in (0, 2, 3, 4), case in (0, 1, 5, 9)
+        own = ["grumble"] * insult + ["people"] * mention + ["vexing"] * (bad and not insult)
+        docs.append((i, " ".join(draw.choices(vocabulary, k=12) + own), "a"))
+        labels.append((i, int(bad), 1, "x"))
+    known = {i: t for i, t, *_ in labels if not held(i, 4, 2)}
+    with_mention = [t for i, t in known.items() if "people" in docs[i][1]]
+    share, n = sum(known.values()) / len(known), len(with_mention)
+    machine = toxicity.train(frame(docs), spark.createDataFrame(labels, LABELS))
+    shown = (("people",), ("grumble",), ("people", "grumble"))
+    slots = [{int(machine.slot_of[b]) for w in words for b in toxicity.word_buckets(w)} for words in shown]
+    assert all(min(s) >= 0 for s in slots)
+    alone, insulted, both = (machine.score(s) for s in slots)
+    assert both > 0.5 > max(alone, insulted)
+    assert abs(sum(with_mention) / n - share) < 0.02
+
+
 @pytest.fixture
 def toxic(spark, frame):
     draw = random.Random(5)
