@@ -144,6 +144,18 @@ def test_gradients_agree_with_differences():
         assert np.isclose((up - down) / (2 * step), slope[at], rtol=0.02), name
 
 
+def test_training_reads_whole_texts(spark, frame, monkeypatch):
+    """Every byte of every labelled text, however long, reaches the fit."""
+    texts = ["".join(chr(33 + (i + j * j) % 90) for j in range(n)) for i, n in enumerate((0, 10, 700, 6_000, 40_000))]
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda documents, labels: seen.extend(documents))
+    docs = frame([(10 * i + k, t, "a") for i, t in enumerate(texts) for k in (1, 2, 3)])
+    known = [(r.doc_id, 0, r.doc_id % 2, "x") for r in docs.collect()]
+    quality.train(docs, spark.createDataFrame(known, LABELS))
+    joined = {b"".join([d[0].tobytes(), *(c[quality.OVERLAP :].tobytes() for c in d[1:])]).rstrip(b"\0") for d in seen}
+    assert joined == {texts[i // 10].encode() for i, *_ in known if not held(i, 5, 0)} and len(joined) == 5
+
+
 def test_quality_documents(spark, frame):
     draw = random.Random(6)
     vocabulary = ["".join(draw.choices("etaoinshrdlu", k=draw.randrange(2, 9))) for _ in range(400)]
