@@ -67,7 +67,8 @@ def probe_headers(lines: DataFrame) -> DataFrame:
     ``header_line`` and ``header_place``: its first line, which is in its first block.
     ``separator``: the one more frequent in that line, the comma in doubt. ``legacy``: some
     line is no UTF-8. ``broken``: some line has an odd number of quotes, so a record goes on
-    in the next line. One row per file and task is left before anything is shuffled.
+    in the next line. ``n_lines``: how many there are. One row per file and task is left
+    before anything is shuffled.
     """
     first = F.min(F.when(F.col("block") == 0, F.struct("place", "line")))
     odd = _occurrences(F.col("line"), '"') % 2 == 1
@@ -78,11 +79,13 @@ def probe_headers(lines: DataFrame) -> DataFrame:
             first.alias("first"),
             F.max(~F.is_valid_utf8("line")).alias("legacy"),
             F.max(odd).alias("broken"),
+            F.count(F.lit(1)).alias("n_lines"),
         )
         .select(
             "file",
             "legacy",
             "broken",
+            "n_lines",
             decoded(F.col("first.line"), F.col("legacy")).alias("header_line"),
             F.col("first.place").alias("header_place"),
         )
@@ -92,6 +95,7 @@ def probe_headers(lines: DataFrame) -> DataFrame:
         "file",
         "legacy",
         "broken",
+        "n_lines",
         "header_line",
         "header_place",
         F.when(semicolon > comma, SEPARATORS[1]).otherwise(SEPARATORS[0]).alias("separator"),
@@ -110,8 +114,12 @@ def _with_names(headers: DataFrame, width: int) -> DataFrame:
 
 
 def broken_reports(spark: SparkSession, directory: str) -> DataFrame:
-    """Files that :func:`read_reports` leaves out, as their records go over several lines."""
-    return probe_headers(read_lines(spark, directory)).filter("broken").select("file")
+    """Files that :func:`read_reports` leaves out, as their records go over several lines.
+
+    ``n_lines`` counts the lines lost with each, below its header.
+    """
+    broken = probe_headers(read_lines(spark, directory)).filter("broken")
+    return broken.select("file", (F.col("n_lines") - 1).alias("n_lines"))
 
 
 def report_columns(spark: SparkSession, directory: str) -> list[str]:

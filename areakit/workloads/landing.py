@@ -75,6 +75,17 @@ def csv_yearly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports left out for a record of several lines, planted in one year, with their lines."""
+    path = scratch(spark, "rejects")
+    rows = _orders_by_year(spark, sf_dir)
+    split = F.concat(F.lit("one\ntwo "), F.col("Prioritat"))
+    last = F.col("Any") == rows.agg(F.max("Any")).first()[0]
+    rows = rows.withColumn("Prioritat", F.when(last, split).otherwise(F.col("Prioritat")))
+    reports.write_reports(rows, path, "Any", TOPIC)
+    return reports.broken_reports(spark, path).select(report_year(F.col("file")).alias("year"), "n_lines")
+
+
 def csv_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three dialects in one folder; text with accents survives each."""
     path = scratch(spark, "dialects")
@@ -221,6 +232,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_yearly_union": csv_yearly_union,
     "csv_dialects": csv_dialects,
+    "csv_rejects": csv_rejects,
     "json_indexed": json_indexed,
     "missing_years": missing_years,
     "lookup_load": lookup_load,

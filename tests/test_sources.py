@@ -3,11 +3,13 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from areakit import schemas
 from areakit.plans.landing import outstanding_years, persist_reports
 from areakit.session import scratch, shared_dir
 from areakit.sources import lookups, portal, reports, snapshots
 from areakit.sources.tables import overwrite_table, read_table
+from areakit.workloads import landing
 
 
 @pytest.fixture
@@ -162,6 +164,23 @@ def test_only_the_first_line_is_a_header(spark, folder, rows):
     assert [r[0].rsplit("/", 1)[1] for r in reports.broken_reports(spark, str(folder)).collect()] == ["c.csv"]
 
 
+def test_lines_of_broken_reports_are_counted(spark, folder, rows):
+    put(folder / "a.csv", 'Any,Preu\n2015,"el\nRaval"\n2015,3\n')
+    put(folder / "b.csv", 'Any,Preu\n2016,3" pipe\n')
+    put(folder / "c.csv", "Any,Preu\n2017,1\n")
+    found = {r.file.rsplit("/", 1)[1]: r.n_lines for r in reports.broken_reports(spark, str(folder)).collect()}
+    assert found == {"a.csv": 3, "b.csv": 1}
+    assert rows(reports.read_reports(spark, str(folder), ["Any"]).drop("file")) == [("2017",)]
+
+
+def test_broken_reports_have_a_query(spark, monkeypatch):
+    schema = "Any int, Prioritat string"
+    made = spark.createDataFrame([(2014, "a"), (2015, "b"), (2015, "c")], schema).coalesce(1)
+    monkeypatch.setattr(landing, "_orders_by_year", lambda *_: made)
+    found = driver.queries()["csv_rejects"](spark, "").agg(F.sum("n_lines"), F.max("year")).first()
+    assert tuple(map(int, found)) == (4, 2015)
+
+
 def test_each_line_is_parsed_once_per_separator(spark, folder, rows):
     names = [f"c{i}" for i in range(24)]
     put(folder / "a.csv", ",".join(names) + "\n" + ",".join("x" * 24) + "\n")
