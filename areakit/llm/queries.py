@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from areakit.llm import jaccard, mixing, nearest, pieces, quality, rules, sharding, substrings, tokens, toxicity
+from areakit.llm import jaccard, mixing, nearest, pieces, quality, rules, sharding, spelling, substrings, tokens, toxicity
 from areakit.llm.common import documents, labels
 
 
@@ -61,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
