@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from areakit.llm import jaccard, mixing, nearest, pieces, quality, rules, sharding, spelling, substrings, tokens, toxicity
+from areakit.llm import (
+    jaccard,
+    languages,
+    mixing,
+    nearest,
+    negatives,
+    pieces,
+    quality,
+    rules,
+    sharding,
+    spelling,
+    substrings,
+    tokens,
+    toxicity,
+)
 from areakit.llm.common import documents, labels
 
 
@@ -61,10 +75,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return negatives.mine_negatives(rows.withColumn("label", turned), F.col("vec_id") % 50 == 0)
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(documents(spark, sf_dir))
 
 
+def op13_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify_documents(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_toxicity": op2_toxicity,
@@ -76,7 +100,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_languages": op13_languages,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -158,4 +184,23 @@ rest AS (
 SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM base LEFT JOIN rest USING (doc_id)""",
+    "op11_hard_negatives": """
+WITH base AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+    list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM base a JOIN base c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
