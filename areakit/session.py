@@ -77,13 +77,29 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
 
     For frames that several jobs read: the files outlive a lost executor, readers
     prune columns, and Spark knows their size when it plans a join. They are removed
-    when the process ends, or earlier by ``release``.
+    by ``discard`` once nothing reads them any more, or else when the process ends.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
     _SETTLED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    settled = spark.read.schema(df.schema).parquet(path)
+    settled.settled_path = path
+    return settled
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of frames that ``settle`` returned; nothing may read them afterwards."""
+    for frame in frames:
+        path = getattr(frame, "settled_path", None)
+        if path in _SETTLED:
+            _SETTLED.remove(path)
+            _delete(frame.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def pin(df: DataFrame) -> DataFrame:
@@ -94,10 +110,8 @@ def pin(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Remove the files of all settled frames; none of them can be read afterwards."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _SETTLED:
-        path = jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _SETTLED.pop())
 
 
 @atexit.register
