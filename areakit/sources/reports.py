@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from areakit.functions.paths import FILE_PATH
 from areakit.operators.ordering import with_row_index
 from areakit.session import settle
+from areakit.sources.records import join_records, opens
 
 LEGACY_ENCODING = "ISO-8859-1"
 SEPARATORS = (",", ";")
@@ -64,41 +65,40 @@ def with_position(lines: DataFrame) -> DataFrame:
 def probe_headers(lines: DataFrame) -> DataFrame:
     """What each file is like, one row per file that has lines.
 
-    ``header_line`` and ``header_place``: its first line, which is in its first block.
-    ``separator``: the one more frequent in that line, the comma in doubt. ``legacy``: some
-    line is no UTF-8. ``broken``: some line has an odd number of quotes, so a record goes on
-    in the next line. ``n_lines``: how many there are. One row per file and task is left
-    before anything is shuffled.
+    ``header_line``, ``header_block`` and ``header_place``: its first line. ``separator``: the one
+    more frequent in that line, the comma in doubt. ``legacy``: some line is no UTF-8.
+    ``several``: some line leaves a quoted field open, so that its records have to be put
+    together. One row per file and task is left before anything is shuffled.
     """
-    first = F.min(F.when(F.col("block") == 0, F.struct("place", "line")))
-    odd = _occurrences(F.col("line"), '"') % 2 == 1
-    first = (
-        with_position(lines)
-        .groupBy("file")
+    first = F.min(F.struct("block", "place", "line"))
+    lined = with_position(lines)
+    probed = (
+        lined.groupBy("file")
         .agg(
             first.alias("first"),
             F.max(~F.is_valid_utf8("line")).alias("legacy"),
-            F.max(odd).alias("broken"),
-            F.count(F.lit(1)).alias("n_lines"),
+            *(F.max(opens(F.col("line"), s)).alias(f"opens{i}") for i, s in enumerate(SEPARATORS)),
         )
         .select(
             "file",
             "legacy",
-            "broken",
-            "n_lines",
+            "opens0",
+            "opens1",
             decoded(F.col("first.line"), F.col("legacy")).alias("header_line"),
+            F.col("first.block").alias("header_block"),
             F.col("first.place").alias("header_place"),
         )
     )
     comma, semicolon = (_occurrences(F.col("header_line"), s) for s in SEPARATORS)
-    return first.select(
+    other = semicolon > comma
+    return probed.select(
         "file",
         "legacy",
-        "broken",
-        "n_lines",
+        F.when(other, F.col("opens1")).otherwise(F.col("opens0")).alias("several"),
         "header_line",
+        "header_block",
         "header_place",
-        F.when(semicolon > comma, SEPARATORS[1]).otherwise(SEPARATORS[0]).alias("separator"),
+        F.when(other, SEPARATORS[1]).otherwise(SEPARATORS[0]).alias("separator"),
         F.greatest(comma, semicolon).alias("marks"),
     )
 
@@ -113,19 +113,61 @@ def _with_names(headers: DataFrame, width: int) -> DataFrame:
     return fields.withColumn("_names", F.transform("_fields", lambda n: F.trim(n)))
 
 
-def broken_reports(spark: SparkSession, directory: str) -> DataFrame:
-    """Files that :func:`read_reports` leaves out, as their records go over several lines.
+def _decoded_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Decoded lines with their places, their file's separator, and whether records need joining."""
+    of_file = headers.select("file", "separator", "legacy", "several")
+    joined = with_position(lines).join(of_file, "file")
+    return joined.withColumn("line", decoded(F.col("line"), F.col("legacy"))).drop("legacy")
 
-    ``n_lines`` counts the lines lost with each, below its header.
+
+class Reports:
+    """The records of all CSV reports below a folder.
+
+    ``headers`` has a row per file; ``records`` the text of every record, the header's included,
+    with its place; ``spoilt`` the lines that stray quotes made unreadable. Only the lines of
+    files in which a line leaves a quote open are put together, all others pass by.
     """
-    broken = probe_headers(read_lines(spark, directory)).filter("broken")
-    return broken.select("file", (F.col("n_lines") - 1).alias("n_lines"))
+
+    def __init__(self, spark: SparkSession, directory: str):
+        lines = read_lines(spark, directory)
+        headers = settle(probe_headers(lines))
+        text = _decoded_lines(lines, headers)
+        keys = ["file", "block", "place", "line", "separator"]
+        self.records = text.filter(~F.col("several")).select(*keys)
+        self.headers, self.spoilt = headers, self.records.limit(0).drop("separator")
+        several = headers.filter("several")
+        if not several.isEmpty():
+            joined, self.spoilt = join_records(text.filter("several").select(*keys), SEPARATORS)
+            joined = settle(joined)
+            # A header, too, may go over several lines.
+            first = joined.groupBy("file").agg(F.min(F.struct("block", "place", "line")).alias("first"))
+            marks = F.greatest(*(_occurrences(F.col("first.line"), s) for s in SEPARATORS))
+            found = several.drop("header_line", "header_block", "header_place", "marks").join(first, "file")
+            found = found.withColumns(
+                {
+                    "header_line": F.col("first.line"),
+                    "header_block": F.col("first.block"),
+                    "header_place": F.col("first.place"),
+                    "marks": marks,
+                }
+            )
+            self.headers = settle(headers.filter(~F.col("several")).unionByName(found.drop("first")))
+            self.records = self.records.unionByName(joined)
+        self.width = _width(self.headers)
+        self.names = _with_names(self.headers, self.width)
+
+
+def spoilt_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines that :func:`read_reports` leaves out, as a stray quote opened a field in them.
+
+    One row per file that has any: ``file`` and ``n_lines``.
+    """
+    return Reports(spark, directory).spoilt.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def report_columns(spark: SparkSession, directory: str) -> list[str]:
-    """All column names in the first lines of the reports below a folder, sorted."""
-    headers = settle(probe_headers(read_lines(spark, directory)))
-    names = _with_names(headers, _width(headers)).select(F.explode("_names").alias("name")).distinct()
+    """All column names in the first records of the reports below a folder, sorted."""
+    names = Reports(spark, directory).names.select(F.explode("_names").alias("name")).distinct()
     return sorted(r["name"] for r in names.filter(F.col("name") != "").collect())
 
 
@@ -135,23 +177,20 @@ def read_reports(
     """The given columns, by name and as text, of every CSV report below a folder.
 
     Reports may differ in encoding, separator and columns; a column a report lacks
-    is null, and a file with none of them has no rows. Nor has one with records of
-    several lines, which :func:`broken_reports` names. The header is a file's first
-    line, and only that line is left out. All files are parsed in one scan: each line
+    is null, and a file with none of them has no rows. The header is a file's first
+    record, and only that is left out. Records may go over several lines, whose breaks
+    become line feeds; a line that a stray quote spoils is left out, which
+    :func:`spoilt_lines` counts. All files are parsed in one scan: each record
     is matched with its file's separator and the places of the wanted columns in its
     header. ``file`` keeps the path, and with ``positions``
-    ``block`` and ``place`` keep the order of lines within it.
+    ``block`` and ``place`` keep the order of records within it.
     """
-    lines = read_lines(spark, directory)
-    headers = settle(probe_headers(lines))
-    width = _width(headers)
+    reports = Reports(spark, directory)
     places = settle(
-        _with_names(headers, width).select(
+        reports.names.select(
             "file",
+            "header_block",
             "header_place",
-            "separator",
-            "legacy",
-            "broken",
             *(
                 (F.array_position("_names", F.lit(c)) - 1).cast("int").alias(f"_at{i}")
                 for i, c in enumerate(columns)
@@ -160,10 +199,9 @@ def read_reports(
     )
     kept = ["file", "block", "place"] if positions else ["file"]
     wanted = F.greatest(*(F.col(f"_at{i}") for i in range(len(columns))), F.lit(-1)) >= 0
-    rows = with_position(lines).join(places.filter(wanted & ~F.col("broken")), "file")
-    rows = rows.filter((F.col("block") != 0) | (F.col("place") != F.col("header_place")))
-    rows = rows.withColumn("line", decoded(F.col("line"), F.col("legacy")))
-    parsed = with_fields(rows, "line", "separator", width, "_fields")
+    rows = reports.records.join(places.filter(wanted), "file")
+    rows = rows.filter((F.col("block") != F.col("header_block")) | (F.col("place") != F.col("header_place")))
+    parsed = with_fields(rows, "line", "separator", reports.width, "_fields")
     return parsed.select(
         *kept,
         *(

@@ -20,6 +20,9 @@ from areakit.workloads import roles
 NEW_FORMAT_YEAR = 1998
 LAST_SEMICOLON_YEAR = 1995
 FIRST_YEAR, END_YEAR = 1990, 2005
+# Planted: records of two lines, and stray quotes.
+TWO_LINES_EVERY = 5
+STRAY_YEAR, STRAY_EVERY = 1997, 10
 TOPIC = "lloguer_preu"
 
 
@@ -60,14 +63,29 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def _write_unquoted(rows: DataFrame, path: str) -> None:
+    """Reports whose quotes are written as they are, as no careful writer would."""
+    named = rows.withColumn("report", reports.report_name(F.col("Any"), TOPIC))
+    plain = named.hint("rebalance", "report").write.option("header", True).option("quote", "\u0000")
+    plain.partitionBy("report").csv(path)
+
+
 def csv_yearly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Years with different columns, united by name."""
+    """Years with different columns, united by name.
+
+    Of the new ones, some records go over two lines, and odd years have inch marks in
+    fields without quotes.
+    """
     path = scratch(spark, "yearly")
     rows = _orders_by_year(spark, sf_dir)
     old = rows.filter(F.col("Any") < NEW_FORMAT_YEAR).drop("Prioritat")
     new = rows.filter(F.col("Any") >= NEW_FORMAT_YEAR).select(*reversed(rows.columns))
+    odd = F.col("Any") % 2 == 1
+    two_lines = F.when(F.col("Codi") % TWO_LINES_EVERY == 0, F.concat("Prioritat", F.lit("\nurgent"))).otherwise(F.col("Prioritat"))
+    inches = F.concat(F.lit('3" '), "Prioritat")
     reports.write_reports(old, f"{path}/old", "Any", TOPIC)
-    reports.write_reports(new, f"{path}/new", "Any", TOPIC)
+    reports.write_reports(new.filter(~odd).withColumn("Prioritat", two_lines), f"{path}/new", "Any", TOPIC)
+    _write_unquoted(new.filter(odd).withColumn("Prioritat", inches), f"{path}/odd")
     read = reports.read_reports(spark, path, rows.columns)
     return read.select(
         report_year(F.col("file")).alias("year"),
@@ -76,18 +94,20 @@ def csv_yearly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports left out for a record of several lines, planted in one year, with their lines."""
+    """Lines spoilt by stray quotes, planted in one year, and the rows read all the same."""
     path = scratch(spark, "rejects")
     rows = _orders_by_year(spark, sf_dir)
-    split = F.concat(F.lit("one\ntwo "), F.col("Prioritat"))
-    last = F.col("Any") == rows.agg(F.max("Any")).first()[0]
-    rows = rows.withColumn("Prioritat", F.when(last, split).otherwise(F.col("Prioritat")))
-    reports.write_reports(rows, path, "Any", TOPIC)
-    return reports.broken_reports(spark, path).select(report_year(F.col("file")).alias("year"), "n_lines")
+    stray = (F.col("Any") == STRAY_YEAR) & (F.col("Codi") % STRAY_EVERY == 0)
+    rows = rows.withColumn("Prioritat", F.when(stray, F.concat(F.lit('"'), "Prioritat")).otherwise(F.col("Prioritat")))
+    _write_unquoted(rows, path)
+    year = report_year(F.col("file")).alias("year")
+    spoilt = reports.spoilt_lines(spark, path).groupBy(year).agg(F.sum("n_lines").alias("n_lines"))
+    read = reports.read_reports(spark, path, ["Codi"]).groupBy(year).agg(F.count(F.lit(1)).alias("n_rows"))
+    return read.join(spoilt, "year", "left").select("year", "n_rows", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
 def csv_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three dialects in one folder; text with accents survives each."""
+    """The three dialects in one folder; text with accents survives each, and line breaks do."""
     path = scratch(spark, "dialects")
     rows = _orders_by_year(spark, sf_dir).withColumn(
         "Prioritat", F.concat(F.lit("Àrea; "), F.col("Prioritat"), F.lit(', "ü"'))
@@ -95,6 +115,7 @@ def csv_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.col("Any")
     semicolon = rows.filter(year <= LAST_SEMICOLON_YEAR)
     legacy = rows.filter((year > LAST_SEMICOLON_YEAR) & (year < NEW_FORMAT_YEAR))
+    legacy = legacy.withColumn("Prioritat", F.concat("Prioritat", F.lit("\nç")))
     current = rows.filter(year >= NEW_FORMAT_YEAR)
     reports.write_reports(semicolon, f"{path}/a", "Any", TOPIC, ";", reports.LEGACY_ENCODING)
     reports.write_reports(legacy, f"{path}/b", "Any", TOPIC, ",", reports.LEGACY_ENCODING)

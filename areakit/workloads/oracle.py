@@ -288,9 +288,17 @@ WHERE o_orderstatus = '{roles.PROVINCE}'""",
     "csv_roundtrip": f"WITH {YEARLY} SELECT *, {REPORT} AS report FROM yearly",
     "csv_yearly_union": f"""
 WITH {YEARLY} SELECT "Any" AS year, * REPLACE (
-  CASE WHEN "Any" >= {landing.NEW_FORMAT_YEAR} THEN "Prioritat" END AS "Prioritat") FROM yearly""",
+  CASE WHEN "Any" < {landing.NEW_FORMAT_YEAR} THEN NULL WHEN "Any" % 2 = 1 THEN '3" ' || "Prioritat"
+    WHEN "Codi" % {landing.TWO_LINES_EVERY} = 0 THEN "Prioritat" || chr(10) || 'urgent'
+    ELSE "Prioritat" END AS "Prioritat") FROM yearly""",
+    "csv_rejects": f"""
+WITH {YEARLY}, marked AS (
+  SELECT "Any" AS year, "Any" = {landing.STRAY_YEAR} AND "Codi" % {landing.STRAY_EVERY} = 0 AS stray FROM yearly)
+SELECT year, count(*) FILTER (NOT stray) AS n_rows, count(*) FILTER (stray) AS n_lines FROM marked GROUP BY year""",
     "csv_dialects": f"""
-WITH {YEARLY} SELECT * REPLACE ('Àrea; ' || "Prioritat" || ', "ü"' AS "Prioritat") FROM yearly""",
+WITH {YEARLY} SELECT * REPLACE ('Àrea; ' || "Prioritat" || ', "ü"' ||
+  CASE WHEN "Any" > {landing.LAST_SEMICOLON_YEAR} AND "Any" < {landing.NEW_FORMAT_YEAR} THEN chr(10) || 'ç'
+    ELSE '' END AS "Prioritat") FROM yearly""",
     "json_indexed": f"""
 WITH {YEARLY} SELECT *, {REPORT} AS report,
   row_number() OVER (ORDER BY {REPORT}, "Codi") - 1 AS row_index FROM yearly""",

@@ -1,15 +1,14 @@
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from areakit import schemas
 from areakit.plans.landing import outstanding_years, persist_reports
 from areakit.session import scratch, shared_dir
 from areakit.sources import lookups, portal, reports, snapshots
 from areakit.sources.tables import overwrite_table, read_table
-from areakit.workloads import landing
 
 
 @pytest.fixture
@@ -160,25 +159,79 @@ def test_only_the_first_line_is_a_header(spark, folder, rows):
     put(folder / "d.csv", "Any,Preu\n2016,\u00c3\u00a9\n2016,\u00ff\n", "iso-8859-1")
     got = reports.read_reports(spark, str(folder), ["Any", "Preu"])
     expected = [("2014", "1"), ("Any", "Preu"), ("2014", "Any Preu"), ("2016", "\u00c3\u00a9"), ("2016", "\u00ff")]
+    expected += [("2015", "el\nRaval"), ("2015", "3")]
     assert rows(got.drop("file")) == sorted(expected)
-    assert [r[0].rsplit("/", 1)[1] for r in reports.broken_reports(spark, str(folder)).collect()] == ["c.csv"]
+    assert reports.spoilt_lines(spark, str(folder)).count() == 0
 
 
-def test_lines_of_broken_reports_are_counted(spark, folder, rows):
-    put(folder / "a.csv", 'Any,Preu\n2015,"el\nRaval"\n2015,3\n')
-    put(folder / "b.csv", 'Any,Preu\n2016,3" pipe\n')
-    put(folder / "c.csv", "Any,Preu\n2017,1\n")
-    found = {r.file.rsplit("/", 1)[1]: r.n_lines for r in reports.broken_reports(spark, str(folder)).collect()}
-    assert found == {"a.csv": 3, "b.csv": 1}
-    assert rows(reports.read_reports(spark, str(folder), ["Any"]).drop("file")) == [("2017",)]
+def spoilt(spark, folder):
+    return {r.file.rsplit("/", 1)[1]: r.n_lines for r in reports.spoilt_lines(spark, str(folder)).collect()}
 
 
-def test_broken_reports_have_a_query(spark, monkeypatch):
-    schema = "Any int, Prioritat string"
-    made = spark.createDataFrame([(2014, "a"), (2015, "b"), (2015, "c")], schema).coalesce(1)
-    monkeypatch.setattr(landing, "_orders_by_year", lambda *_: made)
-    found = driver.queries()["csv_rejects"](spark, "").agg(F.sum("n_lines"), F.max("year")).first()
-    assert tuple(map(int, found)) == (4, 2015)
+def test_records_of_several_lines_and_stray_marks(spark, folder, rows):
+    """A stray mark loses the lines it spoils, and nothing else of the file."""
+    put(folder / "a.csv", 'Any,Preu,Nom\n2014,"el\nRaval, ""dalt""\n",x\n2014,3" pipe,"y"\n2014,5"",z\n')
+    put(folder / "b.csv", 'Any,Preu,Nom\n2015,"3 pipe,x\n2015,4,y\n2015,"a;b",z\n2015,"c\nd",w\n')
+    put(folder / "c.csv", '"Any";"Preu\n(€)";Nom\r\n2016;"x\r\ny";a\r\n2016;"6;b\r\n2016;7;c\r\n')
+    put(folder / "d.csv", 'Any,Preu,Nom\n2017,"8,a\n' + "2017,9,b\n" * 450 + '2017,"10,c\n2017,11,d\n')
+    got = reports.read_reports(spark, str(folder), ["Any", "Preu", "Preu\n(€)", "Nom"])
+    expected = [
+        ("2014", 'el\nRaval, "dalt"\n', None, "x"),
+        ("2014", '3" pipe', None, "y"),
+        ("2014", '5""', None, "z"),
+        ("2015", "4", None, "y"),
+        ("2015", "a;b", None, "z"),
+        ("2015", "c\nd", None, "w"),
+        ("2016", None, "x\ny", "a"),
+        ("2016", None, "7", "c"),
+        *[("2017", "9", None, "b")] * 450,
+        ("2017", "11", None, "d"),
+    ]
+    assert rows(got.drop("file")) == sorted(expected, key=repr)
+    assert spoilt(spark, folder) == {"b.csv": 1, "c.csv": 1, "d.csv": 2}
+
+
+def plain_records(text, separator):
+    """Record ends by reading character by character."""
+    out, start, inside, field_start, at = [], 0, False, True, 0
+    while at < len(text):
+        c = text[at]
+        if inside:
+            if c == '"' and text[at + 1 : at + 2] == '"':
+                at += 1
+            elif c == '"':
+                inside = False
+        elif c == '"' and field_start:
+            inside = True
+        elif c == "\n":
+            out.append(text[start:at])
+            start = at + 1
+        field_start = not inside and c in (separator, "\n")
+        at += 1
+    return out if not inside and start == len(text) else None
+
+
+def test_scan_over_blocks_equals_reading_in_order(spark, folder):
+    """Files cut into many blocks: the records are those that one pass would find."""
+    draw = random.Random(6)
+    pieces = ["ab", "1", '"x y"', '"l\nm"', '"a ""q"" b"', '"\n\n"', 'in"ch', '"p,\n""\nq"', ""]
+    expected = []
+    for number in range(3):
+        text = "c0,c1,c2\n" + "".join(",".join(draw.choices(pieces, k=3)) + "\n" for _ in range(400))
+        put(folder / f"{number}.csv", text)
+        found = plain_records(text, ",")
+        assert found and len(found) == 401
+        expected += found
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = reports.Reports(spark, str(folder))
+        assert read.records.select("file", "block").distinct().count() > 20
+        assert sorted(r["line"] for r in read.records.collect()) == sorted(expected)
+        assert read.spoilt.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_each_line_is_parsed_once_per_separator(spark, folder, rows):
