@@ -23,6 +23,8 @@ FIRST_YEAR, END_YEAR = 1990, 2005
 # Planted: records of two lines, and stray quotes.
 TWO_LINES_EVERY = 5
 STRAY_YEAR, STRAY_EVERY = 1997, 10
+# Years in which snapshots change their types.
+WHOLE_YEAR, TEXT_YEAR = 1997, 1999
 TOPIC = "lloguer_preu"
 
 
@@ -193,17 +195,35 @@ def _seen(df: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly Parquet snapshots; those of the first year have no neighborhood."""
+def _snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """Monthly Parquet snapshots, whose columns and types change over the years.
+
+    Those of the first year have no neighborhood; a later year has whole prices, and
+    another one writes prices and rooms as text.
+    """
     path = scratch(spark, "snapshots")
     rows = _raw_listings(spark, sf_dir)
-    first = F.col("snapshot") < "1996"
-    for part, frame in (
-        ("early", rows.filter(first).drop("neighborhood")),
-        ("late", rows.filter(~first)),
-    ):
+    year = F.left("snapshot", F.lit(4)).cast("int")
+    first, whole, text = year < 1996, year == WHOLE_YEAR, year == TEXT_YEAR
+    parts = {
+        "early": rows.filter(first).drop("neighborhood"),
+        "late": rows.filter(~first & ~whole & ~text),
+        "whole": rows.filter(whole).withColumns({"price": F.col("price").cast("long"), "rooms": F.col("rooms").cast("long")}),
+        "text": rows.filter(text).withColumns({"price": F.col("price").cast("string"), "rooms": F.col("rooms").cast("string")}),
+    }
+    for part, frame in parts.items():
         frame.hint("rebalance", "snapshot").write.partitionBy("snapshot").parquet(f"{path}/{part}")
-    return _seen(snapshots.read_snapshots(spark, path))
+    return path
+
+
+def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _seen(snapshots.read_snapshots(spark, _snapshots(spark, sf_dir)))
+
+
+def snapshot_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months left out for lack of a neighborhood, and how many rows they have."""
+    gated = snapshots.gated_files(spark, _snapshots(spark, sf_dir))
+    return gated.groupBy("date").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def listing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +278,7 @@ QUERIES = {
     "missing_years": missing_years,
     "lookup_load": lookup_load,
     "snapshot_scan": snapshot_scan,
+    "snapshot_gate": snapshot_gate,
     "listing_json": listing_json,
     "page_links": page_links,
     "report_links": report_links,

@@ -310,7 +310,11 @@ SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS neighborhood,
        {normalized('s_name')} AS neighborhood_name, s_name AS neighborhood_reconciled
 FROM supplier""",
     "snapshot_scan": f"""
-WITH {LISTINGS} SELECT {SEEN} FROM listings WHERE year(date) >= 1996""",
+WITH {LISTINGS}, seen AS (SELECT {SEEN} FROM listings WHERE year(date) >= 1996)
+SELECT * REPLACE (CASE WHEN year(date) = {landing.WHOLE_YEAR} THEN trunc(price) ELSE price END AS price) FROM seen""",
+    "snapshot_gate": f"""
+WITH {LISTINGS} SELECT CAST(date_trunc('month', date) AS DATE) AS date, count(*) AS n_rows
+FROM listings WHERE year(date) < 1996 GROUP BY 1""",
     "listing_json": f"WITH {LISTINGS} SELECT {SEEN} FROM listings",
     "page_links": f"""
 WITH {LINKS} SELECT page_id, pos, '{PORTAL}' || href AS url, text, title FROM links""",

@@ -61,6 +61,43 @@ def test_snapshots(spark, folder, rows):
     ]
 
 
+def test_snapshots_of_different_types(spark, folder, rows):
+    """One file per type of price and rooms; struct fields come and go; bad texts are null."""
+    base = dict(neighborhood="n")
+    typed = F.struct(F.lit("flat").alias("typology"))
+    both = F.struct(F.lit("loft").alias("subTypology"), F.lit("house").alias("typology"), F.lit(1).alias("other"))
+    made = {
+        "2020_01_02": listing(spark, "a", price=1.5, rooms=2, **base).withColumn("detailedType", typed),
+        "2020_01_03": listing(spark, "b", price=7, **base).withColumn("price", F.col("price").cast("long")),
+        "2020_01_04": listing(spark, "c", price="2.5", rooms="x", **base).withColumn("detailedType", both),
+        "2020_01_05": listing(spark, "d", price=3.5, **base).withColumn("rooms", F.lit(4).cast("bigint")),
+        "2020_01_06": listing(spark, "e", price=3.5),
+        "2020_01_07": listing(spark, "f", price=F.lit(4.0).cast("float"), **base).withColumn("detailedType", F.lit("text")),
+    }
+    for day, df in made.items():
+        df.coalesce(1).write.parquet(str(folder / f"{day}_idealista"))
+    got = snapshots.read_snapshots(spark, str(folder))
+    assert got.drop("date").schema == schemas.LISTING
+    wanted = ["propertyCode", "price", "rooms", "detailedType.typology", "detailedType.subTypology"]
+    assert rows(got.select(*wanted)) == [
+        ("a", 1.5, 2, "flat", None),
+        ("b", 7.0, None, None, None),
+        ("c", 2.5, None, "house", "loft"),
+        ("d", 3.5, 4, None, None),
+        ("f", 4.0, None, None, None),
+    ]
+    assert rows(snapshots.gated_files(spark, str(folder)).select("date", "n_rows")) == [(date(2020, 1, 6), 1)]
+    groups = snapshots.schema_groups(spark, str(folder))
+    assert 4 <= len(groups) <= 6 and sum(len(files) for files, _ in groups) == 6
+
+
+def test_snapshots_of_one_type_are_one_scan(spark, folder):
+    for day in range(1, 6):
+        listing(spark, "a", neighborhood="n", price=float(day)).write.parquet(str(folder / f"2020_01_0{day}_idealista"))
+    assert snapshots.schema_groups(spark, str(folder))[0][0] == [str(folder)]
+    assert snapshots.read_snapshots(spark, str(folder))._jdf.queryExecution().toString().count("FileScan parquet") == 1
+
+
 def test_no_snapshots_at_all(spark, folder):
     put(folder / "note.txt", "nothing")
     got = snapshots.read_snapshots(spark, str(folder))
