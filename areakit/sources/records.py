@@ -22,9 +22,9 @@ MOST_LINES = 200
 
 # Fixed patterns, by separator: a whole quoted field, a quote that opens one, and a quoted
 # field that goes on behind its closing quote.
-QUOTED = '(^|%s)"(?:[^"]|"")*+"'
+QUOTED = '(^|%s)"[^"]*+(?:""[^"]*+)*+"'
 OPENING = '(?:^|%s)"'
-TORN = '(?:^|{0})"(?:[^"]|"")*+"[^{0}]'
+TORN = '(?:^|{0})"[^"]*+(?:""[^"]*+)*+"[^{0}]'
 
 KEYS = ["file", "block", "place"]
 

@@ -260,10 +260,20 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last link of each wanted key, the keys being the starts of benchmark words."""
+    """Last link of each wanted key, the keys being the starts of benchmark words.
+
+    Links count only inside the first list of reports, which holds other lists; around it
+    are lists of another kind, a second list of reports, and one inside a comment.
+    """
     words = roles.table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
     wanted = words.select(F.left(F.lower("w"), F.lit(4)).alias("year"))
-    links = portal.page_links(_pages(spark, sf_dir))
+    link = F.concat(F.lit('<a href="/wrong">'), F.left("url", F.lit(60)), F.lit("</a>"))
+    aside = F.concat(F.lit('<ul class="other"><li>'), link, F.lit('</li></ul><!-- <ul class="resource-list"> -->'))
+    opened = F.lit('<nav><UL\n title="x" class="wide resource-list"><li>x<ul><li>y</li></ul></li>')
+    again = F.concat(F.lit('</ul></nav><ul class="resource-list"><li>'), link, F.lit("</li></ul>"))
+    html = F.replace(F.col("html"), F.lit("<nav><ul>"), F.concat(aside, opened))
+    pages = _pages(spark, sf_dir).withColumn("html", F.replace(html, F.lit("</ul></nav>"), again))
+    links = portal.page_links(pages, container=portal.REPORT_LIST)
     return portal.report_links(links, ["page_id", "pos"], wanted)
 
 

@@ -151,10 +151,11 @@ SEEN = """
   raw_name AS neighborhood, floor, "propertyType" AS typology, operation AS sub_typology"""
 
 LINKS = r"""
+scope AS (SELECT page_id, html FROM pages),
 anchors AS (
   SELECT page_id, i - 1 AS pos, a[i] AS anchor
   FROM (SELECT page_id, a, unnest(range(1, len(a) + 1)) AS i FROM (
-    SELECT page_id, regexp_extract_all(html, '(?is)<a\s[^>]*>.*?</a>', 0) AS a FROM pages))
+    SELECT page_id, regexp_extract_all(html, '(?is)<a\s[^>]*>.*?</a>', 0) AS a FROM scope))
 ),
 found AS (
   SELECT page_id, CAST(pos AS INTEGER) AS pos,
@@ -165,6 +166,9 @@ found AS (
 links AS (
   SELECT *, lower(substr(text, 1, greatest(length(text) - 3, 0))) AS title FROM found
 )"""
+# The same for links inside the pages' navigation alone.
+NAVIGATION = r"""scope AS (SELECT page_id, regexp_extract(html, '(?s)<nav><ul>(.*?)</ul></nav>', 1) AS html FROM pages)"""
+LISTED_LINKS = LINKS.replace("scope AS (SELECT page_id, html FROM pages)", NAVIGATION)
 
 MESSAGES = f"""
 messages AS (
@@ -319,7 +323,7 @@ FROM listings WHERE year(date) < 1996 GROUP BY 1""",
     "page_links": f"""
 WITH {LINKS} SELECT page_id, pos, '{PORTAL}' || href AS url, text, title FROM links""",
     "report_links": f"""
-WITH {LINKS}, wanted AS (
+WITH {LISTED_LINKS}, wanted AS (
   SELECT DISTINCT substr(lower(w), 1, 4) AS year
   FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark))
 SELECT year, arg_max('{PORTAL}' || href, page_id * 100000 + pos) AS url

@@ -323,6 +323,32 @@ def test_links(spark, rows):
     assert rows(portal.report_links(headings, ["pos"], wanted, "http://p")) == got[:1]
 
 
+SCOPED = """<a href="/before">a</a><!-- <ul class="resource-list"><a href="/comment">c</a></ul> -->
+<script>var x = '<ul class="resource-list">';</script>
+<ul><li><a href="/other">o</a></li></ul>
+<UL class='wide resource-list'><li><a href="/1">1</a><ul><li><a class=heading href="/2">2</a></li></ul></li>
+<ul class="resource-list"><li><a href="/3">3</a></li></ul><li><a href="/4">4</a></li></ul>
+<ul class="resource-list-item"><a href="/5">5</a></ul>
+<ul class="resource-list"><a href="/6">6</a></ul></ul><a href="/after">z</a>
+<div class="resource-actions actions big"><div><a class="resource-type-None" href="/7">7</a></div>
+<a class="resource-type-None" href="/8">8</a></div><div class="actions"><a href="/9">9</a></div>"""
+
+
+def test_links_inside_their_container(spark, rows):
+    """Nested elements do not end a container, and look-alikes do not begin one."""
+    unclosed = '<ul class="resource-list"><li><a href="/u">u</a>'
+    pages = spark.createDataFrame([(1, SCOPED), (2, "<p>none</p>"), (3, None), (4, unclosed)], "page_id int, html string")
+
+    def found(container, **options):
+        return [(r["page_id"], r["href"]) for r in portal.page_links(pages, container=container, **options).orderBy("page_id", "pos").collect()]
+
+    assert found(portal.REPORT_LIST) == [(1, "/1"), (1, "/2"), (1, "/3"), (1, "/4"), (4, "/u")]
+    every = portal.Container("ul", "resource-list", first_only=False)
+    assert found(every) == [(1, "/1"), (1, "/2"), (1, "/3"), (1, "/4"), (1, "/6"), (4, "/u")]
+    assert found(portal.REPORT_LIST, css_class="heading") == [(1, "/2")]
+    assert found(portal.DOWNLOADS, css_class="resource-type-None") == [(1, "/7"), (1, "/8")]
+
+
 def test_titles_ending_in_xml_are_left_out(spark):
     pages = spark.createDataFrame([(1, '<a href="/x">2016_lloguer_xml   </a><a href="/y">2016_lxmlCSV</a>')], "page_id int, html string")
     links = portal.page_links(pages)
