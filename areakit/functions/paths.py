@@ -9,9 +9,13 @@ FILE_PATH = "_metadata.file_path"
 
 
 def snapshot_date(path: Column) -> Column:
-    """The last ``YYYY_MM_DD`` in a path, as a date; null without one."""
-    text = F.regexp_extract(path, r".*(\d{4}_\d{2}_\d{2})", 1)
-    return F.try_to_timestamp(text, F.lit("yyyy_MM_dd")).cast("date")
+    """The last ``YYYY_MM_DD`` or ``YYYY-MM-DD`` in a path's folders and name, as a date; null without one.
+
+    Hyphens count only behind ``date=``, as partitioned writes lay dates out.
+    """
+    text = F.regexp_extract(path, r".*(?:date=(\d{4}-\d{2}-\d{2})|(\d{4}_\d{2}_\d{2}))", 0)
+    digits = F.replace(F.right(text, F.lit(10)), F.lit("-"), F.lit("_"))
+    return F.try_to_timestamp(digits, F.lit("yyyy_MM_dd")).cast("date")
 
 
 def report_year(path: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from areakit import schemas
@@ -110,6 +110,15 @@ def integration_rejects(
     return reduce(DataFrame.unionAll, named)
 
 
-def publish_formatted(flat: DataFrame, nested: DataFrame, zone: str, fmt: str = "parquet") -> None:
-    overwrite_table(nested, f"{zone}/nested_data", fmt)
-    overwrite_table(flat, f"{zone}/data", fmt)
+def publish_formatted(flat: DataFrame, nested: DataFrame, zone: str, fmt: str = "parquet") -> dict[str, int]:
+    """Write both formatted tables; returns what the writes themselves counted.
+
+    ``flat_rows``, ``nested_rows`` (areas and their parts) and ``nested_listings``.
+    """
+    flat_seen, nested_seen = Observation("flat"), Observation("nested")
+    listings = F.sum(F.size("Info Idealista"))
+    counted = nested.observe(nested_seen, F.count(F.lit(1)).alias("nested_rows"), listings.alias("nested_listings"))
+    overwrite_table(counted, f"{zone}/nested_data", fmt)
+    overwrite_table(flat.observe(flat_seen, F.count(F.lit(1)).alias("flat_rows")), f"{zone}/data", fmt)
+    found = {**flat_seen.get, **nested_seen.get}
+    return {name: int(value or 0) for name, value in found.items()}

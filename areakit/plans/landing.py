@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from areakit.operators.ordering import with_row_index
 from areakit.sources.portal import missing_topic_years, present_files
-from areakit.sources.reports import read_reports, report_columns
+from areakit.sources.reports import read_reports, report_columns, write_indexed_json
 
 
 def outstanding_years(
@@ -19,12 +18,12 @@ def outstanding_years(
 def persist_reports(
     spark: SparkSession, directory: str, target: str, columns: list[str] | None = None
 ) -> None:
-    """All yearly reports of a folder as one collection of JSON lines.
+    """All yearly reports of a folder as one collection of JSON objects keyed by row index.
 
-    Without ``columns`` every column of any report is kept. ``row_index`` counts
-    rows in the order of file names and of lines within each file.
+    Without ``columns`` every column of any report is kept. The index counts rows in the order
+    of file names and of lines within each file. Read it with
+    :func:`areakit.sources.reports.read_indexed_json`.
     """
     names = columns or report_columns(spark, directory)
     rows = read_reports(spark, directory, names, positions=True)
-    indexed = with_row_index(rows, ["file", "block", "place"])
-    indexed.select("row_index", *names).write.mode("overwrite").json(target)
+    write_indexed_json(rows, target, ["file", "block", "place"], columns=names)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areakit.functions.paths import FILE_PATH
 from areakit.operators.ordering import with_row_index
@@ -12,6 +13,7 @@ from areakit.sources.records import join_records, opens
 
 LEGACY_ENCODING = "ISO-8859-1"
 SEPARATORS = (",", ";")
+OBJECT_ROWS = 1_000  # in one JSON object
 BYTE_ORDER_MARK = "\ufeff"
 
 
@@ -238,6 +240,29 @@ def write_reports(
     )
 
 
-def write_indexed_json(df: DataFrame, path: str, order: list[str]) -> None:
-    """JSON lines with each row's place in ``order`` as ``row_index``."""
-    with_row_index(df, order).write.mode("overwrite").json(path)
+def write_indexed_json(
+    df: DataFrame, path: str, order: list[str], columns: list[str] | None = None, object_rows: int = OBJECT_ROWS
+) -> None:
+    """JSON objects that name each row by its place in ``order``: ``{"0": {...}, "1": {...}}``.
+
+    Rows hold ``columns``, or all of them.
+    A single object for a whole table would have to pass one task; every line of the files is
+    one of ``object_rows`` rows that follow each other.
+    """
+    row = F.struct(*(columns or df.columns))
+    keyed = with_row_index(df, order).select("row_index", row.alias("row"))
+    keyed = keyed.withColumn("object", F.floor(F.col("row_index") / object_rows))
+    rows = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("row_index").cast("string"), "row"))))
+    lines = keyed.groupBy("object").agg(F.to_json(rows).alias("value")).select("value")
+    lines.write.mode("overwrite").text(path)
+
+
+def read_indexed_json(spark: SparkSession, path: str, schema: T.StructType, whole: bool = False) -> DataFrame:
+    """The rows of JSON objects keyed by row index, with the key as ``row_index``.
+
+    Objects are one to a line; with ``whole`` every file is one object, over any number of lines.
+    """
+    rows = T.MapType(T.StringType(), schema)
+    lines = spark.read.text(path, wholetext=whole)
+    keyed = lines.select(F.explode(F.from_json("value", rows)).alias("key", "row"))
+    return keyed.select("row.*", F.col("key").try_cast("long").alias("row_index"))

@@ -148,6 +148,23 @@ def read_listing_json(
     )
 
 
+def arriving_snapshots(
+    spark: SparkSession, directory: str, schema: T.StructType = schemas.LISTING, **options: object
+) -> DataFrame:
+    """Parquet snapshots of the declared types as a stream that reads each file once.
+
+    ``options`` are the file stream's, as ``maxFilesPerTrigger``. The folder must exist.
+    """
+    reader = spark.readStream.schema(schema).options(recursiveFileLookup=True, pathGlobFilter="*.parquet", **options)
+    return _dated(reader.parquet(directory), schema)
+
+
+def read_dated(spark: SparkSession, path: str, schema: T.StructType = schemas.LISTING) -> DataFrame:
+    """Listings that :func:`lay_out_by_date` wrote; filters and joins on ``date`` prune its folders."""
+    dated = T.StructType([*[f for f in schema.fields if f.name != "date"], T.StructField("date", T.DateType())])
+    return spark.read.schema(dated).parquet(path)
+
+
 def lay_out_by_date(listings: DataFrame, path: str) -> None:
     """Rewrite snapshots as ``date=...`` folders, so date filters prune files.
 

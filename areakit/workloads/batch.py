@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,11 @@ from areakit.operators.latest import latest, latest_by_aggregate
 from areakit.operators.listings import flat_table, in_scope, nested_table
 from areakit.operators.reconcile import lookup_pairs, unmatched
 from areakit.operators.rent import clean_rent, rent_two_year, rent_yoy
-from areakit.plans.integration import Landing, integration_rejects
+from areakit.plans.exploitation import publish_indicators
+from areakit.plans.integration import Landing, integrate, integration_rejects, publish_formatted
+from areakit.session import scratch, settle
 from areakit.sources.lookups import district_lookup
-from areakit.session import settle
+from areakit.sources.tables import read_table
 from areakit.workloads import roles
 
 LISTING_COLUMNS = ["propertyCode", *schemas.LISTING_FIELDS]
@@ -155,34 +159,63 @@ def nested_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nested(spark, sf_dir).withColumn("Info Idealista", F.array_join(text, ";"))
 
 
-def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What integration leaves out, with unreadable prices and a repeated lookup name planted."""
-    facts = roles.rent_facts(spark, sf_dir, as_text=True)
-    price = F.when(F.col("l_linenumber") == roles.UNREADABLE_LINE, roles.UNREADABLE).otherwise(F.col("Preu"))
-    suppliers = roles.table(spark, sf_dir, "supplier").join(
-        roles.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+def _landing(spark: SparkSession, sf_dir: str) -> Landing:
+    """All sources of the integration, rent facts placed in their areas."""
+    suppliers = (
+        roles.table(spark, sf_dir, "supplier")
+        .join(roles.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(roles.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    areas = suppliers.select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("Nom_Barri"))
-    rent = facts.withColumn("Preu", price).join(areas, "l_suppkey")
-    names = roles.income_lookup(spark, sf_dir)
-    again = names.filter(F.col("_id") == f"Q{roles.REPEATED}").withColumn("_id", F.lit("again"))
-    landing = Landing(
+    areas = suppliers.select(
+        F.col("s_suppkey").alias("l_suppkey"),
+        F.col("n_name").alias("Nom_Barri"),
+        F.col("r_name").alias("Nom_Districte"),
+        F.col("n_nationkey").alias("Codi_Barri"),
+        F.col("r_regionkey").alias("Codi_Districte"),
+    )
+    return Landing(
         roles.income_documents(spark, sf_dir),
-        rent,
+        roles.rent_facts(spark, sf_dir, as_text=True).join(areas, "l_suppkey"),
         roles.listings(spark, sf_dir),
-        names.unionByName(again),
+        roles.income_lookup(spark, sf_dir),
         roles.rent_lookup(spark, sf_dir),
     )
-    return integration_rejects(landing, roles.PROVINCE, roles.PREVIOUS_YEAR)
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What integration leaves out, with unreadable prices and a repeated lookup name planted."""
+    landing = _landing(spark, sf_dir)
+    price = F.when(F.col("l_linenumber") == roles.UNREADABLE_LINE, roles.UNREADABLE).otherwise(F.col("Preu"))
+    names = landing.income_lookup
+    again = names.filter(F.col("_id") == f"Q{roles.REPEATED}").withColumn("_id", F.lit("again"))
+    planted = replace(landing, rent=landing.rent.withColumn("Preu", price), income_lookup=names.unionByName(again))
+    return integration_rejects(planted, roles.PROVINCE, roles.PREVIOUS_YEAR)
+
+
+def _published(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    """The whole integration, written to a formatted zone, with the counts of its writes."""
+    zone = scratch(spark, "formatted")
+    flat, nested = integrate(
+        _landing(spark, sf_dir), roles.TIE_BREAKERS, roles.PROVINCE, roles.CURRENT_YEAR, roles.PREVIOUS_YEAR, roles.PARTS
+    )
+    return zone, publish_formatted(flat, nested, zone)
 
 
 def integration_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = integrated_flat(spark, sf_dir)
-    by_area = flat.groupBy("Neighborhood").agg(F.count(F.lit(1)).alias("n"))
-    return by_area.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("flat_rows"),
-        F.count(F.lit(1)).alias("nested_rows"),
+    """What the writes of the formatted tables counted on their way."""
+    _, counts = _published(spark, sf_dir)
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
+def published_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The indicator tables that follow the formatted zone, joined by rent and area."""
+    zone, _ = _published(spark, sf_dir)
+    target = scratch(spark, "exploitation")
+    publish_indicators(spark, zone, target)
+    pairs = read_table(spark, f"{target}/kpi2").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.max("Monthly Price (€/month)").alias("highest_rent")
     )
+    return read_table(spark, f"{target}/kpi1").crossJoin(F.broadcast(pairs))  # one row
 
 
 def kpi1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +273,7 @@ QUERIES = {
     "nested_listings": nested_listings,
     "integration_counts": integration_counts,
     "integration_rejects": rejects,
+    "published_indicators": published_indicators,
     "kpi1_nested": kpi1_nested,
     "kpi1_ranked": kpi1_ranked,
     "kpi2_pairs": kpi2_pairs,

@@ -12,7 +12,7 @@ from areakit.functions.paths import report_year
 from areakit.operators.nesting import nest
 from areakit.session import scratch
 from areakit.sources import lookups, portal, reports, snapshots
-from areakit.sources.tables import overwrite_table, read_table
+from areakit.sources.tables import overwrite_partitions, overwrite_table, read_table
 from areakit.workloads import roles
 
 # Reports before this year lack the priority column; the first ones also have
@@ -23,6 +23,8 @@ FIRST_YEAR, END_YEAR = 1990, 2005
 # Planted: records of two lines, and stray quotes.
 TWO_LINES_EVERY = 5
 STRAY_YEAR, STRAY_EVERY = 1997, 10
+# Of the dated layout: one month, and what picks some months.
+MONTH, LARGEST_QUANTITY = "1997-05-01", 50
 # Years in which snapshots change their types.
 WHOLE_YEAR, TEXT_YEAR = 1997, 1999
 TOPIC = "lloguer_preu"
@@ -35,12 +37,14 @@ def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings replace what the sink held before."""
+    """Listings replace what the sink held before, and then those of one status are replaced alone."""
     path = scratch(spark, "overwrite")
-    rows = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    overwrite_table(rows, path)
-    overwrite_table(rows.filter(F.col("o_orderstatus") == roles.PROVINCE), path)
-    return read_table(spark, path)
+    rows = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    overwrite_table(rows.limit(10), path)
+    overwrite_table(rows.filter(F.col("o_orderstatus") != "O"), path, partition_by=["o_orderstatus"])
+    again = rows.filter(F.col("o_orderstatus") == roles.PROVINCE).withColumn("o_totalprice", -F.col("o_totalprice"))
+    overwrite_partitions(again, path, ["o_orderstatus"])
+    return read_table(spark, path, schema=rows.schema)
 
 
 def _orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,15 +133,14 @@ def csv_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly reports as one indexed JSON collection."""
+    """Yearly reports as one collection of JSON objects keyed by row index."""
     source, target = scratch(spark, "yearly"), scratch(spark, "indexed")
     rows = _orders_by_year(spark, sf_dir)
     reports.write_reports(rows, source, "Any", TOPIC)
     schema = T.StructType([*rows.schema.fields, T.StructField("report", T.StringType())])
     read = spark.read.schema(schema).option("header", True).csv(source)
     reports.write_indexed_json(read, target, ["report", "Codi"])
-    indexed = T.StructType([*schema.fields, T.StructField("row_index", T.LongType())])
-    return spark.read.schema(indexed).json(target)
+    return reports.read_indexed_json(spark, target, schema)
 
 
 def missing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,6 +229,28 @@ def snapshot_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gated.groupBy("date").agg(F.sum("n_rows").alias("n_rows"))
 
 
+def _laid_out(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    path = scratch(spark, "dated")
+    rows = roles.listings(spark, sf_dir).withColumn("date", F.trunc("date", "month"))
+    snapshots.lay_out_by_date(rows, path)
+    return path, rows.schema
+
+
+def snapshot_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings of one month, of which only that month's folder is read."""
+    path, schema = _laid_out(spark, sf_dir)
+    return snapshots.read_dated(spark, path, schema).filter(F.col("date") == F.lit(MONTH)).select("listing_id", "propertyCode", "price", "date")
+
+
+def snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings of the months in which someone asked for a return, found by a join on dates."""
+    path, schema = _laid_out(spark, sf_dir)
+    late = roles.table(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") == LARGEST_QUANTITY))
+    months = late.select(F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("date")).distinct()
+    read = snapshots.read_dated(spark, path, schema).join(F.broadcast(months), "date")  # months are few at any size
+    return read.groupBy("date").agg(F.count(F.lit(1)).alias("n_listings"))
+
+
 def listing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly JSON snapshots of one-line arrays with nested structs."""
     path = scratch(spark, "listings")
@@ -289,6 +314,8 @@ QUERIES = {
     "lookup_load": lookup_load,
     "snapshot_scan": snapshot_scan,
     "snapshot_gate": snapshot_gate,
+    "snapshot_month": snapshot_month,
+    "snapshot_dates": snapshot_dates,
     "listing_json": listing_json,
     "page_links": page_links,
     "report_links": report_links,

@@ -7,11 +7,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areakit import schemas
 from areakit.plans import rooms
 from areakit.session import scratch
-from areakit.streaming import messages, scoring
+from areakit.streaming import batches, messages, scoring, upkeep
 from areakit.workloads import roles
 
+# Files of events and files a batch; years in which listings land; buckets of the state.
+EVENTS_A_FILE, FILES_A_BATCH = 1_000, 3
+LANDINGS = (0, 1998, 2000)
+UPKEEP_BUCKETS = 16
+
 
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rooms.frequency_index(roles.rooms_rows(spark, sf_dir), rooms.LABEL)
@@ -77,8 +83,11 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages, the forest's size, and whether its importances add up to one."""
     model, _ = _fitted(spark, sf_dir)
-    return rooms.model_summary(spark, model)
+    total = F.aggregate("importances", F.lit(0.0), lambda total, x: total + x)
+    summary = rooms.model_summary(spark, model)
+    return summary.withColumn("adds_up", F.abs(total - 1) < 1e-9).drop("importances")
 
 
 def parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +143,80 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(parsed.schema).parquet(target)
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected messages in two targets, after the last batch was written twice.
+
+    The first run's commit is taken back, so the second one gets the same batch again, and
+    then what has arrived since.
+    """
+    rows = roles.event_messages(spark, sf_dir)
+    clicks = F.col("value").contains(",click")
+    path, target = _written(spark, rows.filter(clicks)), scratch(spark, "batches")
+    targets = {route: f"{target}/{route}" for route in ("accepted", "rejected")}
+
+    def run() -> None:
+        stream = messages.message_stream(spark, "text", path)
+        routed = messages.routed(messages.parse_messages(stream))
+        messages.run_for(batches.start_batches(routed, f"{target}/log", batches.split_targets(targets)))
+
+    run()
+    batches.forget_commit(spark, f"{target}/log", 0)
+    run()
+    rows.filter(~clicks).write.mode("append").text(path)
+    run()
+    columns = messages.routed(messages.parse_messages(rows)).columns
+    found = [spark.read.parquet(place).withColumn("route", F.lit(route)) for route, place in targets.items()]
+    return found[0].unionByName(found[1]).select(*columns)
+
+
+def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets of every batch over two runs of a few files each time, without gap or overlap."""
+    events = roles.table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / EVENTS_A_FILE).alias("part"))
+    path, target = scratch(spark, "events"), scratch(spark, "offsets")
+
+    def arrive(remainder: int) -> None:
+        some = events.filter(F.col("part") % 2 == remainder).select("part", F.col("event_id").cast("string").alias("value"))
+        some.repartition("part").write.mode("append").partitionBy("part").text(path)
+
+    for remainder in (0, 1):
+        arrive(remainder)
+        stream = messages.message_stream(spark, "text", path, maxFilesPerTrigger=str(FILES_A_BATCH), recursiveFileLookup="true")
+        messages.run_for(messages.append_to(stream, f"{target}/log", path=f"{target}/out"))
+    log = batches.offset_log(spark, f"{target}/log")
+    at = lambda c: F.get_json_object(c, "$.logOffset").cast("long")
+    total = spark.read.schema("value string").parquet(f"{target}/out").agg(F.count_distinct("value").alias("n_events"), F.count("value").alias("n_rows"))
+    found = log.select("batch", at("start_offset").alias("start_offset"), at("end_offset").alias("end_offset"), "committed")
+    return found.crossJoin(F.broadcast(total))  # one row
+
+
+def _upkeep(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Listings that land in three runs: the latest ones, and what each run has read."""
+    rows = roles.scoped_listings(spark, sf_dir).drop("province")
+    inbox, target = scratch(spark, "landed"), scratch(spark, "latest")
+    merge = upkeep.merge_latest(f"{target}/state", rows.schema, ["propertyCode"], ["date", *roles.TIE_BREAKERS], UPKEEP_BUCKETS)
+
+    def write(batch: DataFrame, number: int) -> None:
+        merge(batch, number)
+        read = batch.agg(F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first"), F.max("date").alias("last"))
+        read.write.mode("overwrite").parquet(f"{target}/read/{batches.BATCH}={number}")
+
+    for first, end in zip(LANDINGS, [*LANDINGS[1:], 9999]):
+        year = F.year("date")
+        rows.filter((year >= first) & (year < end)).write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema(rows.schema).parquet(inbox)
+        messages.run_for(batches.start_batches(arriving, f"{target}/log", write))
+    return upkeep.read_state(spark, f"{target}/state", rows.schema), spark.read.parquet(f"{target}/read")
+
+
+def latest_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upkeep(spark, sf_dir)[0].select("neighborhood", "propertyCode", *schemas.LISTING_FIELDS)
+
+
+def latest_upkeep_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each run reads the files that are new, and only those."""
+    return _upkeep(spark, sf_dir)[1].select(F.col(batches.BATCH).cast("int").alias("run"), "n_rows", "first", "last")
+
+
 def stream_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part messages scored as a stream, and whether the batch scores them the same."""
     model, _ = _fitted(spark, sf_dir)
@@ -163,5 +246,9 @@ QUERIES = {
     "stream_parse": stream_parse,
     "stream_rejects": stream_rejects,
     "stream_restart": stream_restart,
+    "stream_batches": stream_batches,
+    "stream_offsets": stream_offsets,
+    "latest_upkeep": latest_upkeep,
+    "latest_upkeep_runs": latest_upkeep_runs,
     "stream_predict": stream_predict,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from areakit.functions.names import ACCENTED, PLAIN
 from areakit.sources.portal import PORTAL
-from areakit.workloads import landing, roles
+from areakit.workloads import landing, modelling, roles
 
 
 def mean2(total: str, n: str) -> str:
@@ -264,8 +264,13 @@ WITH {INTEGRATED} SELECT neighborhood AS "Neighborhood", neighborhood_id AS "Nei
   {part('"propertyCode"')} AS "Info Part"
 FROM flat GROUP BY ALL""",
     "integration_counts": f"""
-WITH {INTEGRATED} SELECT count(*) AS flat_rows, count(DISTINCT neighborhood) AS nested_rows
-FROM flat""",
+WITH {INTEGRATED} SELECT count(*) AS flat_rows, count(*) AS nested_listings,
+  count(DISTINCT neighborhood || '|' || {part('"propertyCode"')}) AS nested_rows FROM flat""",
+    "published_indicators": f"""
+WITH {INTEGRATED}, kpi1 AS (SELECT {KPI1_COLUMNS} FROM flat GROUP BY neighborhood),
+rents AS (SELECT DISTINCT ON (neighborhood) monthly_price FROM flat)
+SELECT kpi1.*, (SELECT count(*) FROM rents) AS n_pairs, (SELECT max(monthly_price) FROM rents) AS highest_rent
+FROM kpi1""",
     "kpi1_nested": f"WITH {INTEGRATED} SELECT {KPI1_COLUMNS} FROM flat GROUP BY neighborhood",
     "kpi1_ranked": f"""
 WITH k AS ({KPI1})
@@ -287,8 +292,9 @@ SELECT {CORR.format(x='monthly_price', y='rfd')} AS correlation FROM pairs""",
     ),
     "scan_table": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "sink_overwrite": f"""
-SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
-WHERE o_orderstatus = '{roles.PROVINCE}'""",
+SELECT o_orderkey, o_orderstatus,
+  CASE WHEN o_orderstatus = '{roles.PROVINCE}' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+FROM orders WHERE o_orderstatus <> 'O'""",
     "csv_roundtrip": f"WITH {YEARLY} SELECT *, {REPORT} AS report FROM yearly",
     "csv_yearly_union": f"""
 WITH {YEARLY} SELECT "Any" AS year, * REPLACE (
@@ -319,6 +325,15 @@ SELECT * REPLACE (CASE WHEN year(date) = {landing.WHOLE_YEAR} THEN trunc(price)
     "snapshot_gate": f"""
 WITH {LISTINGS} SELECT CAST(date_trunc('month', date) AS DATE) AS date, count(*) AS n_rows
 FROM listings WHERE year(date) < 1996 GROUP BY 1""",
+    "snapshot_month": f"""
+WITH {LISTINGS} SELECT listing_id, "propertyCode", price, CAST(date_trunc('month', date) AS DATE) AS date
+FROM listings WHERE date_trunc('month', date) = DATE '{landing.MONTH}'""",
+    "snapshot_dates": f"""
+WITH {LISTINGS}, months AS (
+  SELECT DISTINCT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date FROM lineitem
+  WHERE l_returnflag = 'R' AND l_quantity = {landing.LARGEST_QUANTITY})
+SELECT CAST(date_trunc('month', l.date) AS DATE) AS date, count(*) AS n_listings
+FROM listings l JOIN months m ON date_trunc('month', l.date) = m.date GROUP BY 1""",
     "listing_json": f"WITH {LISTINGS} SELECT {SEEN} FROM listings",
     "page_links": f"""
 WITH {LINKS} SELECT page_id, pos, '{PORTAL}' || href AS url, text, title FROM links""",
@@ -359,6 +374,37 @@ FROM part WHERE {TEST_SIDE}""",
     "model_accuracy": f"""
 SELECT count(*) AS n_rows, true AS equals_evaluator FROM part WHERE {TEST_SIDE}""",
     "model_roundtrip": f"SELECT p_partkey, true AS same_prediction FROM part WHERE {TEST_SIDE}",
+    "stream_batches": f"""
+WITH {MESSAGES} SELECT value, CASE WHEN fault <> 'blank' THEN event_type END AS "Neighborhood_ID",
+  CASE WHEN fault IN ('none', 'blank') THEN CAST(price AS DOUBLE) END AS "Price",
+  CASE fault WHEN 'error' THEN 'no price' WHEN 'blank' THEN 'no area' WHEN 'none' THEN NULL
+    ELSE 'price is no number' END AS reason,
+  CASE WHEN fault = 'none' THEN 'accepted' ELSE 'rejected' END AS route
+FROM messages""",
+    "stream_offsets": f"""
+WITH files AS (SELECT DISTINCT event_id // {modelling.EVENTS_A_FILE} AS part FROM events),
+runs AS (
+  SELECT part % 2 AS run, ceil(count(*) / {modelling.FILES_A_BATCH})::BIGINT AS n FROM files GROUP BY run)
+SELECT b AS batch, CASE WHEN b > 0 THEN b - 1 END AS start_offset, b AS end_offset, true AS committed,
+  (SELECT count(*) FROM events) AS n_events, (SELECT count(*) FROM events) AS n_rows
+FROM range((SELECT sum(n) FROM runs)::BIGINT) AS t(b)""",
+    "latest_upkeep": DEDUPED,
+    "latest_upkeep_runs": f"""
+WITH {SCOPED}, runs AS (
+  SELECT *, CASE WHEN year(date) < {modelling.LANDINGS[1]} THEN 0 WHEN year(date) < {modelling.LANDINGS[2]} THEN 1
+    ELSE 2 END AS run FROM scoped)
+SELECT CAST(run AS INTEGER) AS run, count(*) AS n_rows, min(date) AS first, max(date) AS last FROM runs GROUP BY run""",
+    "model_summary": f"""
+SELECT CAST(stage AS INTEGER) AS stage, kind,
+  CAST(CASE WHEN forest THEN 3 END AS INTEGER) AS num_trees,
+  CAST(CASE WHEN forest THEN (SELECT count(DISTINCT p_brand) + 1 FROM part WHERE NOT {TEST_SIDE}) END AS INTEGER)
+    AS num_features,
+  CAST(CASE WHEN forest THEN (SELECT count(DISTINCT p_size) + 1 FROM part WHERE NOT {TEST_SIDE}) END AS INTEGER)
+    AS num_classes,
+  CASE WHEN forest THEN true END AS adds_up
+FROM (SELECT *, kind = 'RandomForestClassificationModel' AS forest FROM (VALUES
+  (0, 'StringIndexerModel'), (1, 'StringIndexerModel'), (2, 'OneHotEncoderModel'), (3, 'VectorAssembler'),
+  (4, 'RandomForestClassificationModel'), (5, 'IndexToString')) AS v(stage, kind))""",
     "stream_predict": """
 SELECT p_brand AS "Neighborhood_ID", p_retailprice AS "Price", true AS equals_batch FROM part""",
     "integration_rejects": f"""

@@ -1,14 +1,16 @@
+import json
 import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areakit import schemas
 from areakit.plans.landing import outstanding_years, persist_reports
 from areakit.session import scratch, shared_dir
 from areakit.sources import lookups, portal, reports, snapshots
-from areakit.sources.tables import overwrite_table, read_table
+from areakit.sources.tables import overwrite_partitions, overwrite_table, read_table
 
 
 @pytest.fixture
@@ -35,6 +37,26 @@ def test_overwrite_replaces(spark, folder, rows):
         assert rows(read_table(spark, path, fmt, spark.range(0).schema)) == [(0,), (1,)]
 
 
+def test_a_failed_overwrite_leaves_the_old_table(spark, folder, rows):
+    path = str(folder / "table")
+    overwrite_table(spark.range(5), path)
+    fails = F.when(F.col("id") == 90, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long")
+    with pytest.raises(Exception, match="broken"):
+        overwrite_table(spark.range(0, 100, 1, 4).select(fails.alias("id")), path)
+    assert rows(read_table(spark, path)) == [(i,) for i in range(5)]
+    assert [p.name for p in folder.iterdir() if not p.name.startswith(".")] == ["table"]
+    overwrite_table(read_table(spark, path).filter("id > 2"), path)  # reads what it replaces
+    assert rows(read_table(spark, path)) == [(3,), (4,)]
+
+
+def test_overwriting_some_partitions(spark, folder, rows):
+    path = str(folder / "table")
+    rows_of = lambda *r: spark.createDataFrame(r, "v int, day string")
+    overwrite_table(rows_of((1, "a"), (2, "b"), (3, "b")), path, partition_by=["day"])
+    overwrite_partitions(rows_of((4, "b"), (5, "c")), path, ["day"])
+    assert rows(read_table(spark, path, schema=rows_of().schema)) == [(1, "a"), (4, "b"), (5, "c")]
+
+
 def listing(spark, *codes, **columns):
     df = spark.createDataFrame([(c,) for c in codes], "propertyCode string")
     return df.withColumns({k: F.lit(v) for k, v in columns.items()})
@@ -104,13 +126,43 @@ def test_no_snapshots_at_all(spark, folder):
     assert got.count() == 0 and "price" in got.columns
 
 
-def test_layout_by_date_prunes(spark, folder):
+def test_layout_by_date_prunes(spark, folder, rows):
+    """A filter on dates, and a join with dates, read only their folders."""
     df = listing(spark, "a", "b", neighborhood="n").withColumn("date", F.lit(date(2020, 1, 2)))
     other = listing(spark, "c", neighborhood="n").withColumn("date", F.lit(date(2020, 1, 3)))
-    snapshots.lay_out_by_date(df.unionByName(other), str(folder))
-    read = spark.read.parquet(str(folder)).filter(F.col("date") == date(2020, 1, 3))
-    assert [r["propertyCode"] for r in read.collect()] == ["c"]
-    assert len(read.inputFiles()) == 2 and "PartitionFilters: [isnotnull(date" in read._jdf.queryExecution().toString()
+    path = str(folder / "laid")
+    snapshots.lay_out_by_date(df.unionByName(other), path)
+    schema = spark.createDataFrame([], "propertyCode string, neighborhood string").schema
+    read = snapshots.read_dated(spark, path, schema)
+    one = read.filter(F.col("date") == date(2020, 1, 3))
+    assert rows(one) == [("c", "n", date(2020, 1, 3))]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    put(folder / "dates" / "d.csv", "2020-01-02,x\n2020-01-03,y\n")
+    wanted = spark.read.schema("date date, v string").csv(str(folder / "dates")).filter("v = 'y'").select("date")
+    joined = read.join(F.broadcast(wanted), "date")
+    assert rows(joined.select("propertyCode")) == [("c",)]
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_snapshots_read_from_the_layout_by_date(spark, folder, rows):
+    dated = listing(spark, "a", neighborhood="n").withColumn("date", F.lit(date(2020, 1, 2)))
+    snapshots.lay_out_by_date(dated, str(folder))
+    assert rows(snapshots.read_snapshots(spark, str(folder)).select("propertyCode", "date")) == [("a", date(2020, 1, 2))]
+
+
+def test_arriving_snapshots_are_read_once(spark, folder, tmp_path, rows):
+    from areakit.streaming.messages import append_to, run_for
+
+    folder.mkdir()
+    sink = str(tmp_path / "out")
+    for day, code in (("02", "a"), ("03", "b")):
+        listing(spark, code, neighborhood="n").write.parquet(str(folder / f"2020_01_{day}_idealista"))
+        run_for(append_to(snapshots.arriving_snapshots(spark, str(folder)), str(tmp_path / "log"), path=sink), 60)
+    listing(spark, "c").write.parquet(str(folder / "2020_01_04_idealista"))
+    run_for(append_to(snapshots.arriving_snapshots(spark, str(folder)), str(tmp_path / "log"), path=sink), 60)
+    got = spark.read.parquet(sink).select("propertyCode", "date")
+    assert rows(got) == [("a", date(2020, 1, 2)), ("b", date(2020, 1, 3))]
 
 
 ONE = '{"propertyCode": "%s", "price": 355000.0, "neighborhood": "El Poble Sec", "rooms": 4, %s}'
@@ -289,8 +341,26 @@ def test_reports_written_and_indexed(spark, folder, rows):
     read = reports.read_reports(spark, str(folder / "csv"), ["Any", "n", "v"])
     assert rows(read.drop("file")) == sorted([("2015", "b", "1"), ("2014", 'ú;"', "2"), ("2015", "a", "3")])
     reports.write_indexed_json(df, str(folder / "json"), ["Any", "n"])
-    indexed = spark.read.json(str(folder / "json"))
-    assert rows(indexed.select("row_index", "n")) == [(0, 'ú;"'), (1, "a"), (2, "b")]
+    indexed = reports.read_indexed_json(spark, str(folder / "json"), df.schema)
+    assert rows(indexed) == sorted([(2014, 'ú;"', 2, 0), (2015, "a", 3, 1), (2015, "b", 1, 2)])
+    lines = spark.read.text(str(folder / "json")).collect()
+    assert json.loads(lines[0][0])["0"] == {"Any": 2014, "n": 'ú;"', "v": 2}
+
+
+def test_one_object_for_a_whole_file(spark, folder, rows):
+    """The form in which a topic arrives: any layout, keys in any order, nulls."""
+    put(folder / "a.json", '{\n "1": {"n": null, "v": 4},\n "0": {"n": "é"}\n}')
+    got = reports.read_indexed_json(spark, str(folder), spark.createDataFrame([], "n string, v int").schema, whole=True)
+    assert rows(got) == [("é", None, 0), (None, 4, 1)]
+
+
+def test_objects_hold_so_many_rows_each(spark, folder):
+    df = spark.range(2_501).select(F.col("id").alias("n"), F.lit(None).cast("string").alias("none"))
+    reports.write_indexed_json(df, str(folder), [F.col("n").desc()])
+    sizes = sorted(len(json.loads(r[0])) for r in spark.read.text(str(folder)).collect())
+    assert sizes == [501, 1_000, 1_000]
+    got = reports.read_indexed_json(spark, str(folder), df.schema)
+    assert got.filter("row_index <> 2500 - n").count() == 0 and got.distinct().count() == 2_501
 
 
 def test_missing_years(spark, folder, rows):
@@ -355,6 +425,10 @@ def test_titles_ending_in_xml_are_left_out(spark):
     assert [r["year"] for r in portal.report_links(links, ["pos"]).collect()] == ["2016"]
 
 
+def columns(*names):
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def test_persisted_reports_keep_line_order(spark, folder, rows):
     put(folder / "in" / "2015_x_bcn.csv", "Any;Preu\n2015;3\n2015;3\n2015;1\n")
     put(folder / "in" / "2014_x_bcn.csv", "Any,Nom\n2014,é\n2014,b\n", "iso-8859-1")
@@ -362,7 +436,8 @@ def test_persisted_reports_keep_line_order(spark, folder, rows):
     put(folder / "in" / "2017_x_bcn.csv", "")
     assert reports.report_columns(spark, str(folder / "in")) == ["Any", "Nom", "Preu"]
     persist_reports(spark, str(folder / "in"), str(folder / "out"))
-    got = spark.read.json(str(folder / "out")).select("row_index", "Any", "Nom", "Preu")
+    got = reports.read_indexed_json(spark, str(folder / "out"), columns("Any", "Nom", "Preu"))
+    got = got.select("row_index", "Any", "Nom", "Preu")
     assert rows(got) == [
         (0, "2014", "é", None),
         (1, "2014", "b", None),
@@ -387,6 +462,6 @@ def test_lines_of_a_file_read_in_several_blocks(spark, folder, rows):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    got = spark.read.json(str(folder / "out"))
+    got = reports.read_indexed_json(spark, str(folder / "out"), columns("n"))
     assert got.count() == 20000
     assert got.filter("row_index != cast(n as bigint)").count() == 0
