@@ -1,6 +1,7 @@
 """The two classifiers: what they can learn, held-out rows, and odd inputs."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -144,6 +145,70 @@ def test_gradients_agree_with_differences():
         assert np.isclose((up - down) / (2 * step), slope[at], rtol=0.02), name
 
 
+def test_scores_equal_a_plain_convolution():
+    """One chunk after the other, one filter and place after the other."""
+    draw = np.random.default_rng(9)
+    texts = [bytes(draw.integers(1, 40, n, np.uint8)) for n in (0, 5, 512, 1_300)]
+    net = quality.fit([quality.chunked(t) for t in texts], np.array([0.0, 1.0, 1.0, 0.0]), 2)
+    for text, score in zip(texts, quality.score_texts(net, texts)):
+        features = []
+        for chunk in quality.chunked(text):
+            blocks = []
+            for start in range(0, quality.CHUNK, quality.BLOCK):
+                places = range(start, start + quality.BLOCK)
+                embedded = [x for p in places for x in net.embed[chunk[p]]]
+                equal = [
+                    sum(p >= lag and chunk[p] == chunk[p - lag] and chunk[p] != 0 for p in places) / quality.BLOCK
+                    for lag in quality.LAGS
+                ]
+                blocks.append(np.array(embedded + equal))
+            pairs = [one @ net.filters[0] + two @ net.filters[1] + net.shift for one, two in zip(blocks, blocks[1:])]
+            features.append(np.maximum(np.max(pairs, axis=0), 0))
+        pooled = np.concatenate([np.mean(features, axis=0), np.max(features, axis=0)])
+        assert np.isclose(score, 1 / (1 + np.exp(-(pooled @ net.combine + net.bias))), atol=1e-4)
+
+
+def test_training_memory_does_not_follow_the_texts(monkeypatch):
+    """Sixteen texts of half a megabyte, and gradients that do not depend on the slices."""
+    draw = np.random.default_rng(10)
+    long = [quality.chunked(bytes(draw.integers(1, 255, 500_000, np.uint8))) for _ in range(16)]
+    tracemalloc.start()
+    quality.fit(long, np.arange(16) % 2.0, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    documents, labels = [d[:60] for d in long[:3]], np.array([1.0, 0.0, 1.0])
+    net = quality.fit(documents, labels, 0)
+    whole = quality._slopes(net, documents, labels, 0.0)
+    monkeypatch.setattr(quality, "SLICE", 7)
+    for one, two in zip(whole, quality._slopes(net, documents, labels, 0.0)):
+        assert np.allclose(one, two, atol=1e-5)
+
+
+def test_training_takes_whole_texts_up_to_a_size(spark, frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda documents, labels: seen.extend(documents))
+    docs = frame([(i, chr(97 + i % 26) * (1_000 * (1 + i % 5)), "a") for i in range(60)] + [(70, "z" * 50_000, "a")])
+    known = [(r.doc_id, 0, r.doc_id % 2, "x") for r in docs.collect()]
+    quality.train(docs, spark.createDataFrame(known, LABELS), sample_bytes=40_000)
+    sizes = [len(b"".join([d[0].tobytes(), *(c[quality.OVERLAP :].tobytes() for c in d[1:])]).rstrip(b"\0")) for d in seen]
+    assert 36_000 <= sum(sizes) <= 40_000 and all(n % 1_000 == 0 and n <= 5_000 for n in sizes)
+
+
+def test_odd_rows_with_a_trained_model(spark, toxic, odd_rows):
+    """Very long, empty, null and repeated texts among those that are learned from and scored."""
+    docs, labels = toxic
+    more = [(None if i is None else 2_000 + i, t, None, s, 0, 7, "k", 9, "x") for i, t, s in odd_rows]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    labels = labels + [(2_000 + i, i % 2, (i + 1) % 2, "x") for i in range(10)] + labels[:3]
+    known = spark.createDataFrame(labels, LABELS)
+    for found in (toxicity.toxic_documents(docs, known), quality.quality_documents(docs, known)):
+        scored = found.collect()
+        assert len(scored) == 244 + len(odd_rows) and all(0 <= r.score <= 1 for r in scored)
+        same = {r.score for r in scored if r.doc_id in (2_001, 2_002)}
+        assert len(same) == 1 and len({r.score for r in scored}) > 10
+
+
 def test_training_reads_whole_texts(spark, frame, monkeypatch):
     """Every byte of every labelled text, however long, reaches the fit."""
     texts = ["".join(chr(33 + (i + j * j) % 90) for j in range(n)) for i, n in enumerate((0, 10, 700, 6_000, 40_000))]
