@@ -159,7 +159,8 @@ judged AS (
 hosts AS (
   SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS failed FROM judged
   WHERE source IS NOT NULL GROUP BY source),
-prior AS (SELECT avg(failed / n) AS m, var_pop(failed / n) AS v FROM hosts),
+spread AS (SELECT avg(failed / n) AS m, var_pop(failed / n) AS v, avg(1 / n) AS chance FROM hosts),
+prior AS (SELECT m, v - m * (1 - m) * chance AS v FROM spread),
 rates AS (
   SELECT source, CASE WHEN v > 0 THEN (failed + greatest(m * (1 - m) / v - 1, 0) * m)
     / (n + greatest(m * (1 - m) / v - 1, 0)) ELSE m END AS rate FROM hosts, prior)

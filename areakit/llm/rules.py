@@ -2,7 +2,8 @@
 
 Rule failures are counted per host (the documents' ``source``). A host's failure rate is
 shrunk towards the mean of all hosts by an empirical beta prior, whose mean and strength
-come from the mean and variance of the hosts' rates. Documents of a host whose shrunk
+come from the mean of the hosts' rates and from their variance beyond what chance gives hosts
+of their sizes. Documents of a host whose shrunk
 rate exceeds ``MAX_HOST_RATE`` go with it.
 """
 
@@ -103,9 +104,11 @@ def measure_documents(df: DataFrame, host: str = "source") -> DataFrame:
 def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """``host``, ``host_rate`` (shrunk) and ``host_kept`` for every host that is not null.
 
-    With a mean m and variance v of the hosts' rates, the prior counts as
-    m (1 - m) / v - 1 documents with rate m (none if that is negative). Hosts that all
-    have one rate, or a single host, keep that rate.
+    The variance v of the hosts' rates, whose mean is m, holds that of drawing n documents at
+    rate m, m (1 - m) / n in the mean over hosts, which is taken off. With what is left the
+    prior counts as m (1 - m) / v - 1 documents with rate m (none if that is negative). Where
+    nothing is left hosts do not differ beyond chance, and all have the mean rate; so has a
+    single host.
     """
     hosts = (
         measured.filter(F.col("host").isNotNull())
@@ -114,8 +117,11 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataF
         .withColumn("rate", F.col("failed") / F.col("n"))
     )
     hosts = settle(hosts)
-    prior = hosts.agg(F.avg("rate").alias("m"), F.var_pop("rate").alias("v")).first()
-    mean, variance = prior["m"] or 0.0, prior["v"] or 0.0
+    prior = hosts.agg(
+        F.avg("rate").alias("m"), F.var_pop("rate").alias("v"), F.avg(1 / F.col("n")).alias("chance")
+    ).first()
+    mean = prior["m"] or 0.0
+    variance = (prior["v"] or 0.0) - mean * (1 - mean) * (prior["chance"] or 0.0)
     if variance > 0:
         strength = max(mean * (1 - mean) / variance - 1, 0.0)
         rate = (F.col("failed") + F.lit(strength * mean)) / (F.col("n") + F.lit(strength))
