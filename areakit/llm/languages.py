@@ -40,6 +40,8 @@ RATE = 0.01
 UNKNOWN = "und"
 HELD_OUT = (4, 2)
 
+_DRAWS = 1 << 40
+
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -190,8 +192,11 @@ def language_sample(docs: DataFrame) -> DataFrame:
     """
     rows = only(docs, doc_id="long", text="string", lang="string").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.filter(~held_out(*HELD_OUT)).withColumn("own", F.xxhash64("doc_id", "lang", "text"))
-    order = Window.partitionBy("lang").orderBy("own", "doc_id")
-    sizes = rows.select("doc_id", "lang", "own", F.octet_length("text").alias("bytes"))
+    # Only some thousand rows of a frequent language come together to be ranked.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.pmod(F.col("own"), F.lit(_DRAWS)) / _DRAWS <= F.lit(4.0 * LANGUAGE_ROWS) / F.col("n")
+    sizes = rows.select("doc_id", "lang", "own", F.octet_length("text").alias("bytes")).join(counts, "lang").filter(share)
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.col("own"), F.lit(_DRAWS)), "own", "doc_id")
     ranked = sizes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= LANGUAGE_ROWS)
     first = ranked.orderBy("place", "own", "doc_id").limit(SAMPLE_ROWS).collect()
     chosen, total = {}, 0
