@@ -9,17 +9,24 @@ segments of the band also the subsets with one element deleted. It spends its cr
 where they cost least: on large, hence rare, segments; the smallest ones and the empty
 ones are skipped as far as deletion segments make up for it.
 
+A first pass sketches all subset hashes (see :mod:`areakit.llm.sketches`). A second one
+emits only the rows whose hash two sets may share, about a tenth of them, and gives up
+credits where they cost most: a subset hash that no other set has costs nothing, so the
+spare credits are taken from shared ones, the smallest segments first.
+
 Rows that meet under one subset hash are candidates. Their number is kept linear:
 
-* Equal sets are one set. In each meeting some members, by hash, are tied to all others.
-* A pair is first tested by parity sketches: the sketches' difference has at most as many
-  bits as the sets' has elements, so no true link is refused.
+* Equal sets are one set. In each meeting some members, by hash, are tied to all others;
+  they are found by an aggregation that is combined before the shuffle, and joined back.
+* A pair is first tested by sizes and parity sketches: the sketches' difference has at most
+  as many bits as the sets' has elements, so no true link is refused.
 * The closest pair of each set is verified first, then the closest one between each two
   of the components that verified links form.
 * Last, all meetings that still hold several components are searched whole, in blocks of
   bounded size, for pairs between them that pass the sketch; those are verified, too.
 
-Verification intersects the hashes themselves.
+Verification intersects all 64 bits of the hashes of both texts' shingles. Texts move only
+for that, and only those of sets with a close partner.
 """
 
 from __future__ import annotations
@@ -31,37 +38,91 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areakit.llm.common import map_batches, only, words
+from areakit.llm.common import BLANKS, map_batches, only
 from areakit.llm.components import connected_components
-from areakit.llm.windows import BASES, rolling, spread, word_hashes
-from areakit.session import settle
+from areakit.llm.sketches import PARTS, Sketch, cell_bits, merge_sketch, partial_sketch
+from areakit.llm.windows import BASES, rolling, spread
+from areakit.session import discard, settle
 
 WORDS = 4
 THRESHOLD = (85, 100)
 HUBS = 3
 SKETCH_BYTES = 64
-BAG_BYTES = 6  # of each hash, for the verification: tells the elements of two sets apart
 BLOCK_ROWS = 4_096
+CELLS_PER_ROW = 8  # of the sketch, for each expected subset hash
+CELLS_PER_ID = 16
+WORD_BYTES = 7  # of a text, for each word
+FLUSH = 4_000_000  # subset hashes a task holds before it emits a partial sketch
+STRETCH_BYTES = 1 << 17  # of a text hashed at a time
+CACHE_SETS = 256
 
 # What a row under a subset hash stands for. Pairs of two rows count if one of them
 # probes, or if a probe by deletion meets an indexed subset.
 PROBE, DELETION_PROBE, INDEX, DELETION_INDEX = range(4)
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """Sorted hashes of the distinct ``size``-word shingles, A-Z in lower case.
+def _table() -> tuple[np.ndarray, np.ndarray]:
+    """A random value for each byte, A-Z as a-z, and which bytes are blank."""
+    values = np.random.default_rng(41).integers(1, 2**64, 256, dtype=np.uint64)
+    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    blank = np.zeros(256, bool)
+    blank[[ord(c) for c in BLANKS]] = True
+    return values, blank
+
+
+_VALUES, _BLANK = _table()
+_INVERSE = pow(BASES[0], -1, 1 << 64)
+
+
+@cache
+def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse, modulo 2^64."""
+    found = []
+    for base in (BASES[0], _INVERSE):
+        factors = np.full(length, np.uint64(base))
+        factors[0] = 1
+        found.append(np.multiply.accumulate(factors))
+    return found[0], found[1]
+
+
+def word_values(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, A-Z in lower case, from the bytes of the whole text.
+
+    Sums of byte values times powers of the base over a stretch of words give each word's
+    polynomial as a difference, brought back to power zero by the inverse base.
+    """
+    codes = np.frombuffer(raw, np.uint8)
+    edges = np.flatnonzero(np.diff(_BLANK[codes], prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        low = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, low + STRETCH_BYTES, side="right")))
+        high = int(ends[to - 1])
+        power, inverse = _powers(1 << (high - low).bit_length())
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(_VALUES[codes[low:high]] * power[: high - low], out=sums[1:])
+        first, last = starts[at:to] - low, ends[at:to] - low
+        out[at:to] = (sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)
+        at = to
+    return spread(out)
+
+
+def shingles(raw: bytes | None, size: int) -> np.ndarray:
+    """Sorted hashes of the distinct ``size``-word shingles of a text in UTF-8, A-Z in lower case.
 
     A text with fewer words has one shingle, its whole sequence; one without, none.
     """
-    tokens = words(text.encode().lower().decode() if text else None)
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    width = min(size, len(tokens))
+    single = word_values(raw) if raw else np.zeros(0, np.uint64)
+    if not len(single):
+        return single
+    width = min(size, len(single))
     mark = np.uint64(0 if width == size else width)
-    return np.unique(spread(rolling(word_hashes(tokens), width, BASES[0]) + mark))
+    return np.unique(spread(rolling(single, width, BASES[0]) + mark))
 
 
 def set_key(hashes: np.ndarray) -> int | None:
@@ -72,17 +133,6 @@ def set_key(hashes: np.ndarray) -> int | None:
     return int(spread(np.array([total + np.uint64(len(hashes))])).view(np.int64)[0])
 
 
-def packed(hashes: np.ndarray) -> bytes:
-    """The low ``BAG_BYTES`` of each hash."""
-    return hashes.view(np.uint8).reshape(-1, 8)[:, :BAG_BYTES].tobytes()
-
-
-def unpacked(bag: bytes) -> np.ndarray:
-    wide = np.zeros((len(bag) // BAG_BYTES, 8), np.uint8)
-    wide[:, :BAG_BYTES] = np.frombuffer(bag, np.uint8).reshape(-1, BAG_BYTES)
-    return wide.view(np.uint64).ravel()
-
-
 def parity_sketch(hashes: np.ndarray) -> bytes:
     """A bit per residue: whether an odd number of elements fall there."""
     counts = np.bincount((hashes >> np.uint64(9)) % np.uint64(8 * SKETCH_BYTES), minlength=8 * SKETCH_BYTES)
@@ -130,7 +180,7 @@ def _segment_sums(hashes: np.ndarray, band: int, m: int):
     """Per segment its number of elements and their sum; and the elements by segment."""
     salt = np.uint64((band + 1) * BASES[1] % (1 << 64))
     mixed = spread(hashes ^ salt)
-    segment = ((mixed >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
+    segment = ((mixed >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.uint16 if m < 1 << 16 else np.int64)
     order = np.argsort(segment, kind="stable")
     sizes = np.bincount(segment, minlength=m)
     ends = np.cumsum(sizes)
@@ -143,8 +193,12 @@ def _subset_hash(sums: np.ndarray, segment: np.ndarray, band: int) -> np.ndarray
     return spread(sums + spread(place)).view(np.int64)
 
 
-def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """All subset hashes of a set and what each stands for."""
+def signatures(hashes: np.ndarray, bands: Bands, shared: Sketch | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All subset hashes of a set and what each stands for.
+
+    With a sketch of all sets' hashes, only those that others may have. The hashes are the
+    same with and without it; only probes turn into mere index entries.
+    """
     n = len(hashes)
     band = bands.of(n)
     m, q = bands.segments(band), bands.deletion_segments(band)
@@ -152,15 +206,17 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray
     filled = sizes > 0
     double = (np.arange(m) < q) & (sizes > 2)  # credits of two: equal but for one element
     tags = np.where(filled, PROBE, INDEX)
+    own = _subset_hash(sums, np.arange(m), band)
+    costly = shared.maybe(own.view(np.uint64)) if shared else np.ones(m, bool)
     spare = int(filled.sum() + double.sum()) - bands.apart(2 * n) - 1
     if spare > 0:
         single = np.flatnonzero(filled & ~double)
-        tags[single[np.argsort(sizes[single], kind="stable")[:spare]]] = INDEX
+        tags[single[np.lexsort((sizes[single], ~costly[single]))[:spare]]] = INDEX
     elif spare < 0:
         tags[np.flatnonzero(~filled)[:-spare]] = PROBE
     inside = segment < q
     deleted = sums[segment[inside]] - elements[inside]
-    hashed = [_subset_hash(sums, np.arange(m), band), _subset_hash(deleted, segment[inside], band)]
+    hashed = [own, _subset_hash(deleted, segment[inside], band)]
     kinds = [tags, np.where(double[segment[inside]], DELETION_PROBE, DELETION_INDEX)]
     below = bands.start(band) - 1  # the largest size of the band below
     if band and below * bands.share[1] >= n * bands.share[0]:
@@ -169,108 +225,103 @@ def signatures(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray
         chosen = np.argsort(-sizes, kind="stable")[: bands.apart(n + below) + 1]
         hashed.append(_subset_hash(sums[chosen], chosen, band - 1))
         kinds.append(np.full(len(chosen), PROBE))
-    return np.concatenate(hashed), np.concatenate(kinds).astype(np.int32)
+    every, kind = np.concatenate(hashed), np.concatenate(kinds).astype(np.int32)
+    if shared:
+        met = shared.maybe(every.view(np.uint64))
+        return every[met], kind[met]
+    return every, kind
+
+
+def _raw(batch: pa.RecordBatch) -> list[bytes | None]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-def _keys(size: int):
+_FIRST = f"doc_id long, print long, key long, n long, sketch binary, {PARTS}"
+
+
+def _first_pass(size: int, bands: Bands, bits: int):
+    """A row for each document, and rows of partial sketches of all subset hashes."""
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        parts = partial_sketch(np.concatenate(held).view(np.uint64), bits)
+        none = [pa.nulls(len(parts[0]), k) for k in (*[pa.int64()] * 4, pa.binary())]
+        return pa.RecordBatch.from_arrays([*none, *parts], names=names)
+
+    names = ["doc_id", "print", "key", "n", "sketch", "block", "once", "more"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task's split bounds the sets it sees
+        held: list[np.ndarray] = []
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([set_key(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                ],
-                names=["doc_id", "key", "n_shingles"],
-            )
+            sets = [shingles(t, size) for t in _raw(batch)]
+            keys = [set_key(s) for s in sets]
+            for doc, key, hashes in zip(batch.column("doc_id").to_pylist(), keys, sets):
+                if key is not None and doc is not None and key not in seen:
+                    seen.add(key)
+                    held.append(signatures(hashes, bands)[0])
+            columns = [
+                pa.array(keys, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([parity_sketch(s) for s in sets], pa.binary()),
+                pa.nulls(len(sets), pa.int64()),
+                *[pa.nulls(len(sets), pa.binary())] * 2,
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("print"), *columns], names=names)
+            if sum(map(len, held)) >= FLUSH:
+                yield flush(held)
+                held = []
+        if held:
+            yield flush(held)
 
     return run
 
 
-def _signature_rows(size: int, bands: Bands):
+def _shared_rows(size: int, bands: Bands, shared):
+    """Subset hashes that several sets may have, with the set and what each stands for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch, seen = shared.value, set()
         for batch in batches:
-            seen: set[int] = set()
-            hashed, keys, kinds = [], [], []
-            for text in batch.column("text").to_pylist():
-                hashes = shingles(text, size)
+            hashed, keys, kinds, sizes = [], [], [], []
+            for raw in _raw(batch):
+                hashes = shingles(raw, size)
                 key = set_key(hashes)
                 if key is None or key in seen:
                     continue
                 seen.add(key)
-                own, tags = signatures(hashes, bands)
+                own, tags = signatures(hashes, bands, sketch)
                 hashed.append(own)
                 kinds.append(tags)
                 keys.append(np.full(len(own), key, np.int64))
+                sizes.append(np.full(len(own), len(hashes), np.int64))
             if hashed:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (hashed, keys, kinds)], names=["sig", "key", "tag"]
+                    [pa.array(np.concatenate(x)) for x in (hashed, keys, kinds, sizes)], names=["sig", "key", "tag", "n"]
                 )
 
     return run
 
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose subset hash others share; each with the keys that came first under it.
+def _id_cells(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = spread(batch.column("doc_id").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays(partial_sketch(ids, bits), names=["block", "once", "more"])
 
-    Rows come ordered by hash, tag and a random order. What a meeting starts with decides:
-    without a probe in front of it there is no pair to look for. State is one meeting's
-    first keys, so a meeting of any size streams through.
-    """
-    sig, first, held, live = None, [], None, False
-    for batch in batches:
-        sigs, keys, tags = (batch.column(c).to_numpy() for c in ("sig", "key", "tag"))
-        cuts = np.append(np.flatnonzero(np.diff(sigs, prepend=sigs[:1] - 1)), len(sigs))
-        # Meetings of one row that neither continue nor may go on need no look.
-        sizes = np.diff(cuts)
-        look = sizes > 1
-        if len(look):
-            look[[0, -1]] = True
-        out: list[tuple] = []
-        for at in np.flatnonzero(look).tolist():
-            low, high = int(cuts[at]), int(cuts[at + 1])
-            if sigs[low] != sig:
-                sig, first, held, live = sigs[low], [], None, tags[low] <= DELETION_PROBE
-            if not live:
-                continue
-            for key, tag in zip(keys[low:high].tolist(), tags[low:high].tolist()):
-                if held is not None and key != held[1]:
-                    out.append((*held, []))
-                    held = None
-                if first and key != first[0]:
-                    out.append((int(sig), key, tag, [f for f in first if f != key]))
-                elif not first:
-                    held = (int(sig), key, tag)
-                if key not in first and len(first) < HUBS:
-                    first.append(key)
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in out], pa.int64()),
-                    pa.array([r[1] for r in out], pa.int64()),
-                    pa.array([r[2] for r in out], pa.int32()),
-                    pa.array([r[3] for r in out], pa.list_(pa.int64())),
-                ],
-                names=["sig", "key", "tag", "hubs"],
-            )
+    return run
 
 
-def _bags(size: int):
-    """Size, sketch and hashes of each wanted set, once per task."""
+def _wanted_texts(wanted):
+    """The texts of the documents whose id may be wanted, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        sketch, press = wanted.value, zstandard.ZstdCompressor(3)
         for batch in batches:
-            found = []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                # An id may have other texts, too, and a text may be repeated.
-                if key not in seen and set_key(hashes := shingles(text, size)) == key:
-                    seen.add(key)
-                    found.append((key, len(hashes), parity_sketch(hashes), packed(hashes)))
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "sketch", "bag"])
+            some = batch.filter(pa.array(sketch.maybe(spread(batch.column("doc_id").to_numpy().view(np.uint64)))))
+            texts = [press.compress(raw or b"") for raw in _raw(some)]
+            yield pa.RecordBatch.from_arrays(
+                [some.column("doc_id"), some.column("print"), pa.array(texts, pa.binary())], names=["doc_id", "print", "packed"]
+            )
 
     return run
 
@@ -301,14 +352,25 @@ def _sieve(share: tuple[int, int]):
     return run
 
 
-def _verify(share: tuple[int, int]):
+def _verify(size: int, share: tuple[int, int]):
     part, whole = share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        recent: dict[int, np.ndarray] = {}
+
+        def hashes(key: int, packed: bytes) -> np.ndarray:
+            if key not in recent:
+                if len(recent) >= CACHE_SETS:
+                    recent.clear()
+                recent[key] = shingles(unpack.decompress(packed), size)
+            return recent[key]
+
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column("bag_a").to_pylist(), batch.column("bag_b").to_pylist()):
-                one, two = unpacked(a), unpacked(b)
+            names = ("a", "packed_a", "b", "packed_b")
+            for a, own, b, other in zip(*(batch.column(c).to_pylist() for c in names)):
+                one, two = hashes(a, own), hashes(b, other)
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(whole * both >= part * (len(one) + len(two) - both))
             rows = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"])
@@ -377,22 +439,31 @@ def _of_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 class _Sets:
-    """Sizes, sketches and hashes of the sets that met others, by key."""
+    """The distinct sets: ``key``, a document that has it, its size and sketch."""
 
-    def __init__(self, bags: DataFrame, share: tuple[int, int]):
-        self.bags, self.share = bags, share
+    def __init__(self, texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int]):
+        self.texts, self.sets, self.size, self.share = texts, sets, size, share
 
     def near(self, pairs: DataFrame) -> DataFrame:
-        """The hashes of the sets in ``pairs`` alone, so that verifying moves few."""
+        """The compressed texts of the sets in ``pairs`` alone, so that verifying moves few.
+
+        A broadcast sketch of their ids, of bounded size, keeps the others from the shuffle.
+        """
         keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        return settle(self.bags.select("key", "bag").join(keys, "key", "left_semi"))
+        wanted = settle(self.sets.select("key", "doc_id", "print").join(keys, "key"))
+        bits = cell_bits(CELLS_PER_ID * wanted.count())
+        sketch = merge_sketch(map_batches(wanted.select("doc_id"), _id_cells(bits), PARTS), bits, 1)
+        shared = self.texts.sparkSession.sparkContext.broadcast(sketch)
+        texts = map_batches(self.texts, _wanted_texts(shared), "doc_id long, print long, packed binary")
+        found = texts.join(wanted, ["doc_id", "print"]).dropDuplicates(["doc_id", "print"])
+        return settle(found.select("key", "packed"))
 
     def sieve(self, pairs: DataFrame) -> DataFrame:
-        both = _of_pairs(pairs, self.bags.select("key", "n", "sketch"))
+        both = _of_pairs(pairs, self.sets.select("key", "n", "sketch"))
         return map_batches(both, _sieve(self.share), "a long, b long, gap long")
 
     def verify(self, pairs: DataFrame, near: DataFrame) -> DataFrame:
-        return map_batches(_of_pairs(pairs, near), _verify(self.share), "a long, b long")
+        return map_batches(_of_pairs(pairs, near), _verify(self.size, self.share), "a long, b long")
 
 
 def _labelled(frame: DataFrame, components: DataFrame, key: str, label: str) -> DataFrame:
@@ -407,19 +478,37 @@ def _across(pairs: DataFrame, components: DataFrame) -> DataFrame:
     return both.groupBy(*ends).agg(F.min(F.struct("gap", "a", "b")).alias("pair")).select("pair.a", "pair.b")
 
 
-def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
-    """Components (``node``, ``label``) of the distinct sets, by verified links."""
-    rows = map_batches(texts.select("text"), _signature_rows(size, Bands(share)), "sig long, key long, tag int")
-    rows = rows.withColumn("ord", F.xxhash64("key", "sig")).repartition("sig").sortWithinPartitions("sig", "tag", "ord")
-    live = settle(
-        map_batches(rows.drop("ord"), _meetings, "sig long, key long, tag int, hubs array<long>")
+def _meetings(rows: DataFrame) -> DataFrame:
+    """``rows`` under a hash that several sets share and one of them probes, with the hubs there.
+
+    A hub is the first set, by tag and then hash, of a class of all sets: at most ``HUBS``. The
+    hash is that of the set alone, so that a set meets the same hubs time and again, and the
+    distinct pairs of a large group stay few.
+    """
+    order = F.struct("tag", F.xxhash64("key").alias("ord"), "key", "n")
+    of_class = [F.min(F.when(F.pmod(F.xxhash64("key"), F.lit(HUBS)) == c, order)).alias(f"hub{c}") for c in range(HUBS)]
+    met = rows.groupBy("sig").agg(
+        F.min("tag").alias("first"), F.min("key").alias("least"), F.max("key").alias("most"), *of_class
     )
-    met = live.select("key").distinct().join(sets, "key").select("key", F.col("first").alias("doc_id"))
-    bags = map_batches(texts.join(met, "doc_id").select("key", "text"), _bags(size), "key long, n long, sketch binary, bag binary")
-    of = _Sets(settle(bags), share)
+    met = met.filter((F.col("first") <= DELETION_PROBE) & (F.col("least") != F.col("most")))
+    hubs = F.filter(F.array(*(F.struct(f"hub{c}.key", f"hub{c}.n") for c in range(HUBS))), lambda hub: hub["key"].isNotNull())
+    return rows.join(met.select("sig", hubs.alias("hubs")), "sig")
+
 
-    tied = live.select("key", F.explode("hubs").alias("hub"))
-    tied = tied.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
+def _links(texts: DataFrame, first: DataFrame, sets: DataFrame, bits: int, size: int, share: tuple[int, int]) -> DataFrame:
+    """Components (``node``, ``label``) of the distinct sets, by verified links."""
+    part, whole = share
+    sketch = merge_sketch(first.filter("block IS NOT NULL").select("block", "once", "more"), bits, 2)
+    shared = texts.sparkSession.sparkContext.broadcast(sketch)
+    rows = map_batches(texts.select("text"), _shared_rows(size, Bands(share), shared), "sig long, key long, tag int, n long")
+    rows = settle(rows)
+    live = settle(_meetings(rows))
+    discard(rows)
+    of = _Sets(texts, sets, size, share)
+
+    tied = live.select("key", "n", F.explode("hubs").alias("hub")).filter("key <> hub.key")
+    fits = F.least("n", "hub.n") * whole >= F.greatest("n", "hub.n") * part
+    tied = tied.filter(fits).select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
     close = settle(of.sieve(tied))
     best = close.select(F.explode(F.array("a", "b")).alias("node"), F.struct("gap", "a", "b").alias("pair"))
     best = best.groupBy("node").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b").distinct()
@@ -427,6 +516,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int])
     links = settle(of.verify(best, near))
     more = of.verify(_across(close, connected_components(links)), near)
     links = settle(links.union(more))
+    discard(close, near)
     components = settle(connected_components(links))
 
     labelled = _labelled(live.select("sig", "key", "tag"), components, "key", "label")
@@ -437,7 +527,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int])
     open_ = open_.filter("least <> most").select("sig", blocks.alias("blocks"))
     spread_ = (
         labelled.join(open_, "sig")
-        .join(of.bags.select("key", "n", "sketch"), "key")
+        .join(of.sets.select("key", "n", "sketch"), "key")
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
@@ -446,7 +536,9 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, share: tuple[int, int])
     spread_ = spread_.select(*order, "key", "tag", "label", "block", "n", "sketch")
     spread_ = spread_.repartition(*order).sortWithinPartitions(*order)
     last = settle(map_batches(spread_, _between(share), "a long, b long").distinct())
-    links = links.union(of.verify(last, of.near(last)))
+    discard(live)
+    if not last.isEmpty():
+        links = settle(links.union(of.verify(last, of.near(last))))
     return connected_components(links)
 
 
@@ -460,12 +552,19 @@ def join_documents(df: DataFrame, size: int = WORDS, share: tuple[int, int] = TH
     nothing, but gets the component of an equal set. Repeated rows share a component. Sets count as
     equal if 64 bits of hash agree.
     """
-    texts = only(df, doc_id="long", text="string")
-    keyed = settle(map_batches(texts, _keys(size), "doc_id long, key long, n_shingles long"))
-    sets = settle(keyed.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first")))
-    components = settle(_links(texts.filter("doc_id IS NOT NULL"), sets, size, share))
-    named = _labelled(sets, components, "key", "label")
-    named = settle(named)
+    part, whole = share
+    texts = only(df, doc_id="long", text="string").withColumn("print", F.xxhash64("text"))
+    weighed = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    # A set has about twice as many subset hashes as elements in which it may differ.
+    rows = weighed // WORD_BYTES * 4 * (whole - part) // (whole + part)
+    bits = cell_bits(CELLS_PER_ROW * rows)
+    first = settle(map_batches(texts, _first_pass(size, Bands(share), bits), _FIRST))
+    keyed = settle(first.filter("block IS NULL").select("doc_id", "key", F.col("n").alias("n_shingles")))
+    sets = first.filter("block IS NULL AND key IS NOT NULL AND doc_id IS NOT NULL")
+    sets = settle(sets.groupBy("key").agg(F.min(F.struct("doc_id", "print", "n", "sketch")).alias("of")).select("key", "of.*"))
+    components = settle(_links(texts.filter("doc_id IS NOT NULL"), first, sets, bits, size, share))
+    discard(first)
+    named = settle(_labelled(sets.select("key", F.col("doc_id").alias("first")), components, "key", "label"))
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
     by_key = named.join(smallest, "label").select("key", "component_id")
     return keyed.join(by_key, "key", "left").select(
