@@ -42,9 +42,7 @@ def flat_table(listings: DataFrame, profile: DataFrame) -> DataFrame:
     return joined.select(*(F.col(c).alias(name) for name, c in schemas.FLAT_COLUMNS.items()))
 
 
-def nested_table(
-    listings: DataFrame, profile: DataFrame, parts: int = 1
-) -> DataFrame:
+def nested_table(listings: DataFrame, profile: DataFrame, parts: int) -> DataFrame:
     """Each area's listings as arrays, under the published names.
 
     One row per area and ``Info Part`` (0 to ``parts`` - 1) that holds any; see

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Elements that an array may hold: what a row and a task bear.
+MOST_ELEMENTS = 100_000
+
 
 def element_part(key: Column, parts: int) -> Column:
     """The part of 0 to ``parts`` - 1 that an element belongs to, by a hash of its key."""
@@ -12,8 +15,20 @@ def element_part(key: Column, parts: int) -> Column:
     return (draw % parts).cast("int")
 
 
+def check_parts(df: DataFrame, keys: list[str], element_key: str, parts: int, most: int = MOST_ELEMENTS) -> None:
+    """Fail, naming the key, if one of its parts would hold more than ``most`` elements.
+
+    One aggregation, so that too few parts show before arrays outgrow a row in some task.
+    """
+    sizes = df.groupBy(*keys, element_part(F.col(element_key), parts).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max_by(F.struct(*keys, "n"), "n").alias("of")).first()["of"]
+    if largest is not None and largest["n"] > most:
+        key = ", ".join(str(largest[k]) for k in keys)
+        raise ValueError(f"a part of {key} has {largest['n']} elements, more than {most}: ask for more than {parts} parts")
+
+
 def nest(
-    df: DataFrame, keys: list[str], element: Column, name: str, element_key: str, parts: int = 1
+    df: DataFrame, keys: list[str], element: Column, name: str, element_key: str, parts: int
 ) -> DataFrame:
     """Sorted arrays of ``element``: one row per key and ``part`` that has any.
 

@@ -18,6 +18,7 @@ from areakit.operators.listings import (
     nested_table,
     reconciled_listings,
 )
+from areakit.operators.nesting import check_parts
 from areakit.operators.reconcile import lookup_pairs, unmatched
 from areakit.operators.rent import (
     RENT_KEYS,
@@ -68,17 +69,19 @@ def build_listings(
 def integrate(
     landing: Landing,
     tie_breakers: list[str],
+    parts: int,
     province: str = PROVINCE,
     current: int = CURRENT_YEAR,
     previous: int = PREVIOUS_YEAR,
-    parts: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """The flat and the nested formatted table.
+    """The flat and the nested formatted table, the latter with each area in ``parts`` rows at most.
 
-    Listings and profile feed both, so each is computed once.
+    Listings and profile feed both, so each is computed once. Fails before nesting if a part
+    of some area has more listings than an array may hold.
     """
     columns = ["neighborhood", "propertyCode", *schemas.LISTING_FIELDS]
     listings = settle(build_listings(landing, tie_breakers, province).select(*columns))
+    check_parts(listings, ["neighborhood"], "propertyCode", parts)
     profile = settle(build_profile(landing, current, previous))
     return flat_table(listings, profile), nested_table(listings, profile, parts)
 

@@ -196,7 +196,7 @@ def _published(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
     """The whole integration, written to a formatted zone, with the counts of its writes."""
     zone = scratch(spark, "formatted")
     flat, nested = integrate(
-        _landing(spark, sf_dir), roles.TIE_BREAKERS, roles.PROVINCE, roles.CURRENT_YEAR, roles.PREVIOUS_YEAR, roles.PARTS
+        _landing(spark, sf_dir), roles.TIE_BREAKERS, roles.PARTS, roles.PROVINCE, roles.CURRENT_YEAR, roles.PREVIOUS_YEAR
     )
     return zone, publish_formatted(flat, nested, zone)
 

@@ -122,7 +122,7 @@ def test_nest_parts_follow_the_element(spark, hot):
     for key, arrays in parts.items():
         assert all(a == sorted(a) for a in arrays.values())
         assert sum(map(len, arrays.values())) == sizes[key]
-    whole = {r["k"]: [x["v"] for x in r["vs"]] for r in nest(df, ["k"], F.struct("v"), "vs", "v").collect()}
+    whole = {r["k"]: [x["v"] for x in r["vs"]] for r in nest(df, ["k"], F.struct("v"), "vs", "v", 1).collect()}
     assert {k: sorted(v for a in p.values() for v in a) for k, p in parts.items()} == whole
     assert {v for a in parts["hot"].values() for v in a} == set(range(100))
 
@@ -280,7 +280,7 @@ def test_flat_and_nested_tables(spark, listings, profile, rows):
     flat = flat_table(listings, profile)
     assert flat.columns == list(schemas.FLAT_COLUMNS)
     assert flat.count() == 4
-    nested = nested_table(listings, profile)
+    nested = nested_table(listings, profile, 1)
     assert nested.columns == list(schemas.NESTED_COLUMNS)
     assert {r["Neighborhood"]: len(r["Info Idealista"]) for r in nested.collect()} == {"A": 3, "B": 1}
     split = nested_table(listings, profile, parts=2)

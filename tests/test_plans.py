@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from areakit import schemas
+from areakit.operators import nesting
 from areakit.operators.income import nest_income
 from areakit.plans import rooms
 from areakit.plans.exploitation import publish_indicators
@@ -58,9 +59,9 @@ def landing(spark):
 
 
 def test_zones_end_to_end(spark, landing, tmp_path, rows):
-    flat, nested = integrate(landing, ["price"])
+    flat, nested = integrate(landing, ["price"], parts=1)
     formatted, exploitation = str(tmp_path / "formatted"), str(tmp_path / "exploitation")
-    publish_formatted(flat, nested, formatted)
+    assert publish_formatted(flat, nested, formatted) == {"flat_rows": 3, "nested_rows": 2, "nested_listings": 3}
     publish_indicators(spark, formatted, exploitation)
     data = spark.read.parquet(f"{formatted}/data")
     assert data.columns == list(schemas.FLAT_COLUMNS)
@@ -76,6 +77,14 @@ def test_zones_end_to_end(spark, landing, tmp_path, rows):
     assert rows(spark.read.parquet(f"{exploitation}/kpi2")) == [(700.0, 76.1), (840.0, 84.9)]
 
 
+def test_too_few_parts_fail_early(spark, landing, monkeypatch):
+    df = spark.createDataFrame([("a", str(i)) for i in range(30)] + [("b", "x")], "area string, code string")
+    nesting.check_parts(df, ["area"], "code", 8, most=20)
+    with pytest.raises(ValueError, match="a part of a has 30 elements"):
+        nesting.check_parts(df, ["area"], "code", 1, most=20)
+    nesting.check_parts(df.limit(0), ["area"], "code", 1, most=0)
+
+
 @pytest.fixture(scope="module")
 def flats(spark):
     return spark.range(400).select(
