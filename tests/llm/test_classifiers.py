@@ -55,6 +55,31 @@ def test_training_keeps_terms_without_a_signal_of_their_own(spark, frame):
     assert abs(sum(with_mention) / n - share) < 0.02
 
 
+def test_training_learns_pairs_of_which_neither_term_tells_anything(spark, frame):
+    """Class 1 has both terms or neither: every single weight is worthless."""
+    draw = random.Random(9)
+    vocabulary = [f"tok{chr(97 + i)}en" for i in range(26)]
+    docs, labels, truth = [], [], {}
+    for i in range(4_000):
+        one, two = draw.random() < 0.5, draw.random() < 0.5
+        docs.append((i, " ".join(draw.choices(vocabulary, k=8) + ["grumble"] * one + ["people"] * two), "a"))
+        truth[i] = int(one == two)
+        labels.append((i, truth[i], 1, "x"))
+    found = toxicity.toxic_documents(frame(docs), spark.createDataFrame(labels, LABELS), threshold=0.5).collect()
+    right = [r.predicted == truth[r.doc_id] for r in found if r.held_out]
+    assert len(right) > 800 and sum(right) >= 0.95 * len(right)
+
+
+def test_score_equals_the_plain_sum_over_pairs():
+    draw = np.random.default_rng(4)
+    machine = toxicity.Machine(-0.3, np.zeros(0, np.int32), draw.normal(0, 0.5, 30), draw.normal(0, 0.4, (30, toxicity.FACTORS)))
+    for size in (0, 1, 2, 7, 30):
+        slots = set(draw.choice(30, size, replace=False).tolist())
+        value = machine.bias + sum(machine.weights[s] for s in slots)
+        value += sum(machine.vectors[a] @ machine.vectors[b] for a in slots for b in slots if a < b)
+        assert np.isclose(machine.score(slots), 1 / (1 + np.exp(-value)))
+
+
 @pytest.fixture
 def toxic(spark, frame):
     draw = random.Random(5)

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_jaccard import brute as near
@@ -68,7 +69,39 @@ def test_stages(spark, folder, tmp_path):
             assert len(got) == len(before)
 
 
-def test_run_equals_the_stages_in_turn(spark, folder):
-    ran = corpus_pipeline.run(spark, folder)
-    assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(ran.columns)
-    assert ran.count() > 0
+def in_turn(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        made = stage(spark, docs, folder)
+        assert number == 4 or made.columns == docs.columns
+        made.write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+    return docs
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_run_equals_the_stages_in_turn(spark, folder, tmp_path):
+    ran = rows_of(corpus_pipeline.run(spark, folder))
+    assert ran == rows_of(in_turn(spark, folder, tmp_path)) and len(ran) > 50
+
+
+def test_extra_columns_and_repeated_rows(spark, folder, tmp_path):
+    """Columns named as those the stages use inside pass through; repeated rows stay repeated or go together."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = {c: F.lit(7) for c in ("key", "size", "taken", "own", "label", "score", "component_id", "n_removed", "packed")}
+    again = docs.filter("doc_id % 20 = 3")
+    more = spark.createDataFrame([(7_000, "", "en", "s9", 0), (None, "w " * 30, None, None, 0)], COLUMNS)
+    docs.union(again).union(more).withColumns(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    ran = rows_of(corpus_pipeline.run(spark, str(tmp_path)))
+    assert ran == rows_of(in_turn(spark, str(tmp_path), tmp_path / "stages")) and len(ran) > 50
+    assert max(Counter(r[0] for r in ran).values()) <= 6 and 7_000 not in {r[0] for r in ran}
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -1,5 +1,6 @@
 """Karmarkar-Karp shards: the laws they promise, and small optimal cases."""
 
+import heapq
 import zlib
 from collections import defaultdict
 
@@ -24,6 +25,41 @@ def test_differencing_small_cases():
     assert spread <= 2
 
 
+def plain_differencing(values, shards):
+    """Combine the two partial partitions of largest spread in opposite order, until one is left."""
+    heap = [(-v, i, [0] * (shards - 1) + [v]) for i, v in enumerate(values)]
+    heapq.heapify(heap)
+    number = len(heap)
+    while len(heap) > 1:
+        (_, _, one), (_, _, two) = heapq.heappop(heap), heapq.heappop(heap)
+        both = sorted(x + y for x, y in zip(sorted(one), sorted(two, reverse=True)))
+        heapq.heappush(heap, (both[0] - both[-1], number, both))
+        number += 1
+    return heap[0][2]
+
+
+def test_equals_plain_differencing():
+    """Random large sizes leave no ties, so the sums are the same."""
+    random = np.random.default_rng(7)
+    for n, shards in ((5, 2), (40, 3), (200, 24), (1_000, 7)):
+        values = random.integers(1, 2**40, n)
+        assert sorted(sums(values, shards)) == plain_differencing(values.tolist(), shards)
+
+
+def test_a_very_long_text(frame, odd_rows):
+    """One text that outweighs all others has a shard of its own; the rest stays even."""
+    rows = odd_rows + [(100 + i, "y" * (i * 37 % 400), "a") for i in range(300)]
+    found = sharding.shard_documents(frame(rows), shards=6).collect()
+    largest = max(found, key=lambda r: r["size"])
+    load = defaultdict(int)
+    for r in found:
+        load[r.shard] += r["size"]
+    assert len(found) == len(rows) and largest["size"] > sum(load.values()) / 2
+    assert load[largest.shard] == largest["size"]
+    rest = [n for shard, n in load.items() if shard != largest.shard]
+    assert len(rest) == 5 and max(rest) - min(rest) <= 20
+
+
 def test_partial_partitions_are_permuted_only():
     random = np.random.default_rng(2)
     table = random.integers(0, 1_000, (50, 5))
