@@ -4,8 +4,9 @@ Terms are a text's distinct lower-case words and their five-letter beginnings. T
 takes every hash bucket that ``MIN_DOCUMENTS`` sampled documents share and fits, over all
 of them, a bias, a weight each and a vector each whose products weigh pairs of terms: words
 that offend only together get a score that no sum of single weights gives. Terms whose
-frequency differs between the classes, alone or beside such a term, learn in full steps,
-all others in small ones, so that rare words do not learn single documents by heart.
+frequency differs between the classes, alone, beside such a term or beside any frequent
+term, learn in full steps, all others in small ones, so that rare words do not learn single
+documents by heart.
 """
 
 from __future__ import annotations
@@ -28,8 +29,11 @@ SAMPLE_ROWS = 8_000  # labelled documents used for training, at most
 FACTORS = 8
 MIN_DOCUMENTS = 3
 MIN_Z, MIN_PAIR_Z = 3.5, 6.0  # of a term, and of one among the documents of such a term
-SMALL_STEP = 0.03
-EPOCHS, RATE = 10, 0.3
+FREQUENT_TERMS = 1_500  # the most frequent ones, of which all pairs are looked at
+MIN_FREQUENT_PAIR_Z = 8.0  # of those, as they are a million
+ROWS_AT_ONCE = 1_024
+SMALL_STEP = 0.01
+EPOCHS, RATE = 20, 0.3
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)
 BEGINNING = 5
@@ -82,13 +86,46 @@ def _deviation(toxic: np.ndarray, n: np.ndarray, all_toxic: float, of: int) -> n
     return np.abs(toxic - all_toxic * share) / np.sqrt(all_toxic * (1 - all_toxic / of) * share * (1 - share) + 0.25)
 
 
+def _in_pairs(rows: list[np.ndarray], labels: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Frequent terms whose documents, where they hold another frequent term too, differ from all others.
+
+    Neither of the two needs to differ alone: all pairs of the ``FREQUENT_TERMS`` are counted, as
+    products of 0/1 matrices, and a pair counts if its toxic documents are more or fewer than both
+    terms' own shares of toxic ones let expect.
+    """
+    frequent = np.sort(np.argsort(-n, kind="stable")[:FREQUENT_TERMS])
+    place = np.full(len(n), -1)
+    place[frequent] = np.arange(len(frequent))
+    both = np.zeros((len(frequent), len(frequent)), np.float32)
+    both_toxic = both.copy()
+    for low in range(0, len(rows), ROWS_AT_ONCE):
+        some = rows[low : low + ROWS_AT_ONCE]
+        held = np.zeros((len(some), len(frequent)), np.float32)
+        for i, row in enumerate(some):
+            own = place[row]
+            held[i, own[own >= 0]] = 1
+        both += held.T @ held
+        both_toxic += held.T @ (held * labels[low : low + ROWS_AT_ONCE, None].astype(np.float32))
+    share = np.diag(both_toxic) / np.diag(both)
+    all_share = labels.mean()
+    # What single weights would make of the pair: odds that multiply.
+    odds = lambda p: np.clip(p, 1e-3, 1 - 1e-3) / (1 - np.clip(p, 1e-3, 1 - 1e-3))
+    joint = odds(share)[:, None] * odds(share)[None, :] / odds(all_share)
+    expected = joint / (1 + joint)
+    deviation = np.abs(both_toxic - both * expected) / np.sqrt(both * expected * (1 - expected) + 0.25)
+    np.fill_diagonal(deviation, 0)
+    found = np.zeros(len(n), bool)
+    found[frequent] = (deviation >= MIN_FREQUENT_PAIR_Z).any(axis=1)
+    return found
+
+
 def marked(rows: list[np.ndarray], labels: np.ndarray, features: int) -> np.ndarray:
-    """Which terms differ between the classes, alone or beside a term that does alone."""
+    """Which terms differ between the classes: alone, beside a term that does alone, or in a pair."""
     flat, sizes = np.concatenate(rows), np.array([len(r) for r in rows])
     n = np.bincount(flat, minlength=features)
     toxic = np.bincount(flat, np.repeat(labels, sizes), features)
     alone = _deviation(toxic, n, labels.sum(), len(rows)) >= MIN_Z
-    found = alone.copy()
+    found = alone | _in_pairs(rows, labels, n)
     owner = np.repeat(np.arange(len(rows)), sizes)[np.argsort(flat, kind="stable")]
     ends = np.cumsum(n)
     for term in np.flatnonzero(alone).tolist():
