@@ -192,7 +192,7 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integration_rejects(planted, roles.PROVINCE, roles.PREVIOUS_YEAR)
 
 
-def _published(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+def published(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
     """The whole integration, written to a formatted zone, with the counts of its writes."""
     zone = scratch(spark, "formatted")
     flat, nested = integrate(
@@ -203,13 +203,13 @@ def _published(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
 
 def integration_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the writes of the formatted tables counted on their way."""
-    _, counts = _published(spark, sf_dir)
+    _, counts = published(spark, sf_dir)
     return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
 
 
 def published_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The indicator tables that follow the formatted zone, joined by rent and area."""
-    zone, _ = _published(spark, sf_dir)
+    zone, _ = published(spark, sf_dir)
     target = scratch(spark, "exploitation")
     publish_indicators(spark, zone, target)
     pairs = read_table(spark, f"{target}/kpi2").agg(

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from areakit import schemas
 from areakit.plans import rooms
 from areakit.session import scratch
+from areakit.sources.tables import read_table
 from areakit.streaming import batches, messages, scoring, upkeep
 from areakit.workloads import roles
+from areakit.workloads.batch import published
 
 # Files of events and files a batch; years in which listings land; buckets of the state.
 EVENTS_A_FILE, FILES_A_BATCH = 1_000, 3
 LANDINGS = (0, 1998, 2000)
 UPKEEP_BUCKETS = 16
+MOST_SECONDS = 3_600  # of a bounded run
 
 
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +93,19 @@ def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.withColumn("adds_up", F.abs(total - 1) < 1e-9).drop("importances")
 
 
+def model_from_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model trained on the flat table that the integration published, per area of its test rows.
+
+    ``n_named`` counts the predictions whose label is the one their index stands for.
+    """
+    zone, _ = published(spark, sf_dir)
+    model, predictions = rooms.train_rooms(read_table(spark, f"{zone}/data"))
+    named = F.array(*map(F.lit, [*model.stages[0].labels, rooms.UNKNOWN_LABEL]))
+    label = F.element_at(named, F.col("prediction").cast("int") + 1)
+    right = F.count_if(label == F.col(rooms.PREDICTED))
+    return predictions.groupBy(rooms.CATEGORY).agg(F.count(F.lit(1)).alias("n_rows"), right.alias("n_named"))
+
+
 def parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.accepted(messages.parse_messages(roles.event_messages(spark, sf_dir)))
 
@@ -107,7 +123,7 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     target = scratch(spark, "parsed")
     parsed = messages.accepted(messages.parse_messages(stream))
-    messages.run_for(messages.append_to(parsed, f"{target}-log", path=target))
+    messages.run_for(messages.append_to(parsed, f"{target}-log", path=target), MOST_SECONDS)
     return spark.read.schema(parsed.schema).parquet(target)
 
 
@@ -242,6 +258,7 @@ QUERIES = {
     "model_accuracy": model_accuracy,
     "model_roundtrip": model_roundtrip,
     "model_summary": model_summary,
+    "model_from_zone": model_from_zone,
     "parse_messages": parse_messages,
     "stream_parse": stream_parse,
     "stream_rejects": stream_rejects,

@@ -394,6 +394,9 @@ WITH {SCOPED}, runs AS (
   SELECT *, CASE WHEN year(date) < {modelling.LANDINGS[1]} THEN 0 WHEN year(date) < {modelling.LANDINGS[2]} THEN 1
     ELSE 2 END AS run FROM scoped)
 SELECT CAST(run AS INTEGER) AS run, count(*) AS n_rows, min(date) AS first, max(date) AS last FROM runs GROUP BY run""",
+    "model_from_zone": f"""
+WITH {INTEGRATED} SELECT neighborhood_id AS "Neighborhood_ID", count(*) AS n_rows, count(*) AS n_named FROM flat
+WHERE CAST('0x' || substr(md5("propertyCode"), 1, 8) AS BIGINT) % 100 >= 70 GROUP BY neighborhood_id""",
     "model_summary": f"""
 SELECT CAST(stage AS INTEGER) AS stage, kind,
   CAST(CASE WHEN forest THEN 3 END AS INTEGER) AS num_trees,
