@@ -187,15 +187,17 @@ def language_sample(docs: DataFrame) -> DataFrame:
     """``lang`` and ``text`` of some documents of every language, whole ones.
 
     At most ``LANGUAGE_ROWS`` of a language and ``SAMPLE_ROWS`` in all, in hash order and the
-    languages in turn, as far as they fit into ``SAMPLE_BYTES``. Held-out rows and rows
+    languages in turn, as far as they fit into ``SAMPLE_BYTES``; of more than ``SAMPLE_ROWS``
+    languages the most frequent ones. Held-out rows and rows
     without id, language or text are left out.
     """
     rows = only(docs, doc_id="long", text="string", lang="string").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.filter(~held_out(*HELD_OUT)).withColumn("own", F.xxhash64("doc_id", "lang", "text"))
     # Only some thousand rows of a frequent language come together to be ranked.
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Of the counts at most ``SAMPLE_ROWS`` are broadcast: no more languages could be sampled.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(SAMPLE_ROWS)
     share = F.pmod(F.col("own"), F.lit(_DRAWS)) / _DRAWS <= F.lit(4.0 * LANGUAGE_ROWS) / F.col("n")
-    sizes = rows.select("doc_id", "lang", "own", F.octet_length("text").alias("bytes")).join(counts, "lang").filter(share)
+    sizes = rows.select("doc_id", "lang", "own", F.octet_length("text").alias("bytes")).join(F.broadcast(counts), "lang").filter(share)
     order = Window.partitionBy("lang").orderBy(F.pmod(F.col("own"), F.lit(_DRAWS)), "own", "doc_id")
     ranked = sizes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= LANGUAGE_ROWS)
     first = ranked.orderBy("place", "own", "doc_id").limit(SAMPLE_ROWS).collect()
