@@ -58,7 +58,8 @@ CELLS_PER_ID = 16
 WORD_BYTES = 7  # of a text, for each word
 FLUSH = 4_000_000  # subset hashes a task holds before it emits a partial sketch
 STRETCH_BYTES = 1 << 17  # of a text hashed at a time
-CACHE_SETS = 256
+CACHE_HASHES = 2_000_000  # of the sets that a verifying task keeps
+PAIRS = 1 << 18  # a task searching a meeting holds before it emits them
 
 # What a row under a subset hash stands for. Pairs of two rows count if one of them
 # probes, or if a probe by deletion meets an indexed subset.
@@ -358,12 +359,16 @@ def _verify(size: int, share: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         recent: dict[int, np.ndarray] = {}
+        held = 0
 
         def hashes(key: int, packed: bytes) -> np.ndarray:
+            nonlocal held
             if key not in recent:
-                if len(recent) >= CACHE_SETS:
+                if held >= CACHE_HASHES:
                     recent.clear()
+                    held = 0
                 recent[key] = shingles(unpack.decompress(packed), size)
+                held += len(recent[key])
             return recent[key]
 
         for batch in batches:
@@ -405,13 +410,20 @@ def _between(share: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
 
+        def batch_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            one, two = (np.concatenate(x) for x in zip(*found))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["a", "b"])
+
         def close() -> Iterator[pa.RecordBatch]:
-            found = list(pairs(*current, [np.concatenate(x) for x in zip(*held)]))
+            found, many = [], 0
+            for both in pairs(*current, [np.concatenate(x) for x in zip(*held)]):
+                found.append(both)
+                many += len(both[0])
+                if many >= PAIRS:
+                    yield batch_of(found)
+                    found, many = [], 0
             if found:
-                one, two = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["a", "b"]
-                )
+                yield batch_of(found)
 
         for batch in batches:
             names = ("sig", "i", "j", "key", "tag", "label", "block", "n")

@@ -5,8 +5,10 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from areakit.llm import components as contraction
 from areakit.llm import jaccard
 from areakit.llm.components import connected_components
 
@@ -120,3 +122,56 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert sorted(map(tuple, found)) == sorted((n, label[n]) for n in nodes)
+
+
+def test_few_edges_are_written_to_few_files(spark, monkeypatch):
+    """However many partitions a shuffle has."""
+    files, settle = [], contraction.settle
+
+    def counted(df, *args, **more):
+        settled = settle(df, *args, **more)
+        files.append(len(settled.inputFiles()))
+        return settled
+
+    monkeypatch.setattr(contraction, "settle", counted)
+    edges = [(i, i + 1) for i in range(0, 400) if i % 9]
+    wide = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in wide}
+    try:
+        for key, value in wide.items():
+            spark.conf.set(key, value)
+        found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    label = components(401, edges)
+    assert sorted(map(tuple, found)) == sorted((n, label[n]) for n in {x for e in edges for x in e})
+    assert len(files) > 2 and max(files[1:]) == 1
+
+
+def test_a_large_meeting_emits_bounded_batches(monkeypatch):
+    """All pairs of a meeting may be close; a task never holds them at once."""
+    monkeypatch.setattr(jaccard, "PAIRS", 1_000)
+    n = 300
+    same = {"sig": 5, "i": 0, "j": 0, "tag": jaccard.PROBE, "block": 0, "n": 100}
+    columns = {name: pa.array(np.full(n, value, np.int64)) for name, value in same.items()}
+    columns |= {"key": pa.array(np.arange(n)), "label": pa.array(np.arange(n)), "sketch": pa.array([bytes(64)] * n, pa.binary())}
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    found = list(jaccard._between((85, 100))(iter([batch])))
+    assert max(b.num_rows for b in found) < 1_000 + n
+    both = [(r["a"], r["b"]) for b in found for r in b.to_pylist()]
+    assert sorted(both) == list(combinations(range(n), 2))
+
+
+def test_verifying_keeps_few_long_texts(monkeypatch):
+    """What is kept is bounded by the sets' sizes, not by their number."""
+    monkeypatch.setattr(jaccard, "CACHE_HASHES", 100)
+    made = []
+    monkeypatch.setattr(jaccard, "shingles", lambda raw, size, f=jaccard.shingles: made.append(raw) or f(raw, size))
+    press = jaccard.zstandard.ZstdCompressor().compress
+    texts = [" ".join(f"t{i}w{j}" for j in range(90)).encode() for i in range(4)]
+    pairs = [(0, 1), (2, 3), (0, 0), (1, 1)]
+    rows = [{"a": a, "packed_a": press(texts[a]), "b": b, "packed_b": press(texts[b])} for a, b in pairs]
+    found = list(jaccard._verify(4, (85, 100))(iter([pa.RecordBatch.from_pylist(rows)])))
+    assert [tuple(r.values()) for r in found[0].to_pylist()] == [(0, 0), (1, 1)]
+    assert len(made) == 6  # 0 and 1 were let go before they came again
