@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +14,8 @@ from areakit.functions.numbers import finite
 CATEGORY = "Neighborhood_ID"
 PRICE = "Price"
 
+MEANWHILE_SECONDS = 5  # between two calls of what is done while a query runs
+
 
 def message_stream(spark: SparkSession, fmt: str, path: str | None = None, **options: str) -> DataFrame:
     """A stream of messages as one text column ``value``.
@@ -98,13 +103,20 @@ def append_to(
     return writer.start(path) if path else writer.start()
 
 
-def run_for(query: StreamingQuery, seconds: int | None = None) -> None:
-    """Wait for the query, at most ``seconds``, and stop it."""
+def run_for(query: StreamingQuery, seconds: int | None = None, meanwhile: Callable[[], None] | None = None) -> None:
+    """Wait for the query, at most ``seconds``, and stop it.
+
+    ``meanwhile`` is called every few seconds until then.
+    """
     try:
-        if seconds is None:
-            query.awaitTermination()
-        else:
-            query.awaitTermination(seconds)
+        if meanwhile is None:
+            query.awaitTermination(*([] if seconds is None else [seconds]))
+            return
+        left = float("inf") if seconds is None else seconds
+        end = time.monotonic() + left
+        while left > 0 and not query.awaitTermination(max(0.001, min(MEANWHILE_SECONDS, left))):
+            meanwhile()
+            left = end - time.monotonic()
     finally:
         query.stop()
 

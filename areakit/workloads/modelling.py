@@ -189,6 +189,7 @@ def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offsets of every batch over two runs of a few files each time, without gap or overlap."""
     events = roles.table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / EVENTS_A_FILE).alias("part"))
     path, target = scratch(spark, "events"), scratch(spark, "offsets")
+    session = batches.many_batches(spark, f"{target}/log")
 
     def arrive(remainder: int) -> None:
         some = events.filter(F.col("part") % 2 == remainder).select("part", F.col("event_id").cast("string").alias("value"))
@@ -196,11 +197,12 @@ def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for remainder in (0, 1):
         arrive(remainder)
-        stream = messages.message_stream(spark, "text", path, maxFilesPerTrigger=str(FILES_A_BATCH), recursiveFileLookup="true")
-        messages.run_for(messages.append_to(stream, f"{target}/log", path=f"{target}/out"))
+        stream = messages.message_stream(session, "text", path, maxFilesPerTrigger=str(FILES_A_BATCH), recursiveFileLookup="true")
+        query = messages.append_to(stream, f"{target}/log", path=f"{target}/out")
+        messages.run_for(query, meanwhile=lambda: batches.trim_sink_log(spark, f"{target}/out"))
     log = batches.offset_log(spark, f"{target}/log")
     at = lambda c: F.get_json_object(c, "$.logOffset").cast("long")
-    total = spark.read.schema("value string").parquet(f"{target}/out").agg(F.count_distinct("value").alias("n_events"), F.count("value").alias("n_rows"))
+    total = session.read.schema("value string").parquet(f"{target}/out").agg(F.count_distinct("value").alias("n_events"), F.count("value").alias("n_rows"))
     found = log.select("batch", at("start_offset").alias("start_offset"), at("end_offset").alias("end_offset"), "committed")
     return found.crossJoin(F.broadcast(total))  # one row
 

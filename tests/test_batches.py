@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from areakit.operators.latest import latest
 from areakit.streaming import batches, messages, upkeep
+from areakit.workloads import modelling
 
 SCHEMA = "code string, day int, tie int, price double"
 
@@ -133,3 +134,62 @@ def test_offsets_have_no_gap(spark, routed):
     assert [r["batch"] for r in found] == [0, 1, 2, 3]
     assert [r["start_offset"] for r in found[1:]] == [r["end_offset"] for r in found[:-1]]
     assert found[0]["start_offset"] is None and len({r["end_offset"] for r in found}) == 4
+
+
+def test_the_log_of_many_batches_stays_whole(spark, tmp_path):
+    """Spark forgets the offsets of all but the last 100 batches unless it is told not to."""
+    files = [*range(0, 302, 2), *range(1, 161, 2)]  # 51 batches, then 27 of three files each
+    rows = [(modelling.EVENTS_A_FILE * f + i, None, 1, "click", 1.0, None) for f in files for i in (0, 1)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    retained, kept = "spark.sql.streaming.minBatchesToRetain", spark.conf.getAll
+    spark.conf.set(retained, "20")
+    try:
+        found = modelling.stream_offsets(spark, str(tmp_path)).orderBy("batch").collect()
+        assert spark.conf.getAll == {**kept, retained: "20"}  # nothing is left in the caller's session
+    finally:
+        spark.conf.unset(retained)
+    assert [tuple(r) for r in found] == [(b, b - 1 if b else None, b, True, 462, 462) for b in range(78)]
+
+
+def test_a_trimmed_sink_log_loses_nothing(spark, tmp_path):
+    inbox, out, log = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log")
+    inbox.mkdir()
+    session = batches.many_batches(spark, log)
+    session.conf.set("spark.sql.streaming.fileSink.log.compactInterval", "3")
+
+    def run(first, last):
+        for number in range(first, last):
+            (inbox / f"{number}.txt").write_text(f"{number}\n")
+        stream = messages.message_stream(session, "text", str(inbox), maxFilesPerTrigger="1")
+        messages.run_for(messages.append_to(stream, log, path=out))
+        return sorted(int(r["value"]) for r in session.read.schema("value string").parquet(out).collect())
+
+    def entries():
+        return sorted(p.name for p in (tmp_path / "out" / "_spark_metadata").glob("[0-9]*"))
+
+    batches.trim_sink_log(spark, out)  # nothing is there yet
+    assert run(0, 10) == [*range(10)]
+    assert "0" in entries()
+    batches.trim_sink_log(spark, out)
+    assert entries() == ["5.compact", "6", "7", "8.compact", "9"]
+    assert run(10, 14) == [*range(14)]
+    batches.trim_sink_log(spark, out)
+    assert entries() == ["10", "11.compact", "12", "13", "8.compact", "9"]
+    assert session.read.schema("value string").parquet(out).count() == 14
+    assert batches.offset_log(spark, log).filter("committed").count() == 14
+
+
+def test_meanwhile_is_called_until_the_time_is_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(messages, "MEANWHILE_SECONDS", 0.1)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\n")
+    calls = []
+    for seconds, once in ((2, False), (60, True), (None, True)):
+        stream = messages.message_stream(spark, "text", str(tmp_path / "in"))
+        place = str(tmp_path / f"{seconds}")
+        query = messages.append_to(stream, f"{place}-log", path=place, once=once)
+        messages.run_for(query, seconds, meanwhile=lambda: calls.append(seconds))
+        assert not query.isActive
+        assert [r["value"] for r in spark.read.schema("value string").parquet(place).collect()] == ["one"]
+    assert calls.count(2) > 3
